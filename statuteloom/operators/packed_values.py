@@ -36,7 +36,7 @@ STEM = r"([0-9]{1,3})(?:( ?- ?| )?([A-Z]{1,2})|-?([a-z]{1,2}))?"
 _GROUP = r"\s*\(\s*(?:[0-9]+|[a-z])(?:\s*,\s*(?:[0-9]+|[a-z]))*\s*\)"
 _GROUPS = re.compile(f"(?:{_GROUP})+")
 _WHOLE = rf"^\s*{STEM}(?:{_GROUP})*\s*$"
-_REFERENCE = re.compile(r"([0-9]{1,3})(?![0-9])(?:(?:\s*-\s*|\s+)?([A-Z]{1,2})(?![A-Za-z])|-?([a-z]{1,2})(?![A-Za-z/]))?")
+_REFERENCE = re.compile(r"([0-9]{1,3})(?![0-9])(?:(?:\s*-\s*|\s+)?([A-Z]{1,2})(?![A-Za-z])|-?([a-z]{1,2})(?![A-Za-z]|/[A-Za-z]))?")
 _DIGITS = re.compile(r"[0-9]+")
 _DATE = re.compile(r"(?<![0-9]/)(?:0?[1-9]|[12][0-9]|3[01])([./-])(?:0?[1-9]|1[0-2])\1[12][0-9]{3}(?![0-9])")
 _AMOUNT = re.compile(r"[\s.:]*(?:[0-9]{1,2}([./-])[0-9]{1,2}\1(?:[0-9]{4}|[0-9]{2})(?![0-9])|[0-9]+(?:,[0-9]{3})*)")
