@@ -23,14 +23,14 @@ from statuteloom.session import keep, stable_cut
 ABBREVIATIONS = ("no", "nos", "incl", "sec", "ss", "art", "cl", "para", "vol", "ch", "fig", "ref", "dr", "mr", "mrs", "ms", "st", "vs", "rs", "approx", "etc")
 MAX_SUBJECTS = 200
 _END = (
-    r"(?<=[.?!।…]|[.?!।…][\"”’)])(?<!(?i:(?<![\p{L}\p{N}])(?:" + "|".join(ABBREVIATIONS) + r")\.))[\s ]+(?=[^\p{Ll}\s])|[\r\n  ]+"
+    r"(?<=[.?!।…]|[.?!।…][\"”’)])(?<!(?i:(?<![\p{L}\p{N}])(?:" + "|".join(ABBREVIATIONS) + r")\.))[\s\u00a0]+(?=[^\p{Ll}\s])|[\r\n\u2028\u2029]+"
 )
 
 
 def sentences(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, sentence): sentences of each text, collapsed, lower-case, digits masked; lines end sentences too. NULL and blank texts give none."""
     parts = docs.select(F.col(id_col), F.explode(F.split(F.col(text), _END)).alias("part"))
-    plain = F.lower(F.trim(F.regexp_replace(F.regexp_replace("part", r"(?U)[\s​]+", " "), r"(?U)\d+", "9")))
+    plain = F.lower(F.trim(F.regexp_replace(F.regexp_replace("part", r"(?U)[\s\u200b]+", " "), r"(?U)\d+", "9")))
     return parts.select(id_col, plain.alias("sentence")).where(F.col("sentence").rlike(r"(?U)[\p{L}]"))
 
 
