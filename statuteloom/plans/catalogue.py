@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from statuteloom.plans import problems
+from statuteloom.plans import problems, table_queries, text_queries
 
-QUERIES = {**problems.QUERIES}
-ORACLES = {**problems.ORACLES}
+QUERIES = {**problems.QUERIES, **text_queries.QUERIES, **table_queries.QUERIES}
+ORACLES = {**problems.ORACLES, **text_queries.ORACLES, **table_queries.ORACLES}
