@@ -108,7 +108,7 @@ def plan(sections: DataFrame, key: str, budget: int = 350, refs: DataFrame | Non
     extra = pack(F.flatten(F.transform("parts", items)).cast(_UNIT), F.col("used") + 1, budget, "Illustrations\n")
     cut_clause = F.exists("mains", lambda m: (word_count(m["text"]) > room) & F.exists(m["blocks"], lambda b: (b["kind"] == "clause") & F.exists(paragraphs(b["text"]), lambda p: word_count(p) > room)))
     rows = rows.withColumn("chunks", F.concat(body, extra)).withColumn("clause_split", ~(one_force & (word_count(all_main) <= room)) & cut_clause)
-    out = rows.select("key", "act", "section", "page_start", "old_refs", "header", "clause_split", F.posexplode("chunks").alias("k", "c"))
+    out = rows.select("key", "act", "section", "page_start", "old_refs", "header", "clause_split", F.posexplode_outer("chunks").alias("k", "c")).where("c IS NOT NULL")  # outer: else the plan repeats the array in a filter
     return out.select(
         "key", F.format_string("%s-%s-c%d", "act", F.col("section").cast("string"), F.col("k") + 1).alias("chunk_id"), "act", "section", F.array_distinct("c.subs").alias("subsections"),
         F.col("c.kind").alias("chunk_type"), "old_refs", F.col("c.in_force").alias("in_force"), F.col("c.tokens").alias("tokens"), F.col("page_start").alias("page"), "header",

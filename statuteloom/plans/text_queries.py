@@ -57,17 +57,17 @@ def _normal(spark: SparkSession, d: str) -> DataFrame:
 
 
 def subsections(spark: SparkSession, d: str) -> DataFrame:
-    cut = _normal(spark, d).select("sec_id", F.posexplode(folds.subsections(F.col("norm"))).alias("k", "u"))
+    cut = _normal(spark, d).select("sec_id", F.posexplode_outer(folds.subsections(F.col("norm"))).alias("k", "u")).where("k IS NOT NULL")
     return cut.select("sec_id", "k", "u.number", F.md5("u.text").alias("digest"))
 
 
 def blocks(spark: SparkSession, d: str) -> DataFrame:
-    cut = _normal(spark, d).select("sec_id", F.posexplode(folds.blocks(F.col("norm"))).alias("k", "b"))
+    cut = _normal(spark, d).select("sec_id", F.posexplode_outer(folds.blocks(F.col("norm"))).alias("k", "b")).where("k IS NOT NULL")
     return cut.select("sec_id", "k", "b.kind", "b.label", F.md5("b.text").alias("digest"))
 
 
 def illustrations(spark: SparkSession, d: str) -> DataFrame:
-    shown = _normal(spark, d).select("sec_id", F.explode(folds.blocks(F.col("norm"))).alias("b")).where("b.kind = 'illustration'")
+    shown = _normal(spark, d).select("sec_id", F.explode_outer(folds.blocks(F.col("norm"))).alias("b")).where("b.kind = 'illustration'")
     items = shown.select("sec_id", F.size(folds.illustrations(F.col("b.text"))).alias("items"), F.length("b.text").alias("chars"))
     return items.groupBy("sec_id").agg(F.count(F.lit(1)).alias("blocks"), F.sum("items").alias("items"), F.sum("chars").alias("chars"))
 
