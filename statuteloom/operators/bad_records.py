@@ -1,6 +1,6 @@
 """Separation of delimited records that cannot be loaded from those that can.
 
-Each Arrow batch is one block. A block is parsed in bulk by the columnar CSV reader and checked column-wise;
+Arrow batches are cut into blocks. A block is parsed in bulk by the columnar CSV reader and checked column-wise;
 only when that fails is it halved, again and again, until the offending records stand alone and are diagnosed
 strictly. Nothing is shuffled: the work is one narrow stage over the scan.
 """
@@ -20,8 +20,11 @@ from pyspark.sql import functions as F
 CELLS = ("bns_section", "bns_title", "status", "ipc_section", "ipc_title")
 #: What stands for a missing cell, after white space is collapsed and case ignored.
 NULL_MARKS = ("", "nan", "none", "-", "—", "na", "n/a")
-#: Blocks of this many records or fewer are diagnosed one by one; a further bulk parse would cost more than it saves.
-LEAF = 6
+#: Records of a block that is parsed at once.
+BLOCK = 1024
+#: Failing blocks are halved down to this many records, which are then diagnosed one by one: a bulk call has a fixed cost
+#: of about 50 strict parses, whatever it holds.
+LEAF = 32
 
 _CELL = r'(?:"(?:[^"]|"")*"|[^",]*)'
 _RECORD = rf"(?s)\A{_CELL}(?:,{_CELL}){{{len(CELLS) - 1}}}\z"
@@ -144,7 +147,9 @@ def parse_records(df: DataFrame, id_col: str, line_col: str, status_labels: Sequ
         for batch in batches:
             cells: list[list] = [[] for _ in CELLS]
             reasons: list = []
-            _walk(batch.column(1).cast(pa.string()), statuses, known, cells, reasons)
+            lines = batch.column(1).cast(pa.string())
+            for start in range(0, len(lines), BLOCK):
+                _walk(lines.slice(start, BLOCK), statuses, known, cells, reasons)
             columns = [batch.column(0), *(pa.array(c, pa.string()) for c in cells), pa.array(reasons, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=[id_col, *CELLS, "reason"])
 
