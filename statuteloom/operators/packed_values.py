@@ -13,7 +13,7 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import ahocorasick
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -157,7 +157,7 @@ def split_packed(df: DataFrame, id_col: str, field: str, known: Iterable[str]) -
     source = df.select(F.col(id_col).alias("__id"), (F.col(field) if is_array else F.array(F.col(field))).cast("array<string>").alias("__field"))
     shared = df.sparkSession.sparkContext.broadcast(words)
 
-    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         auto = automaton(shared.value)
 
         @lru_cache(maxsize=50_000)
@@ -165,15 +165,16 @@ def split_packed(df: DataFrame, id_col: str, field: str, known: Iterable[str]) -
             return tuple(cover(value, auto))
 
         for batch in batches:
-            ids, poss, refs, packed = [], [], [], []
-            for row, elements in zip(batch["__id"], batch["__field"]):
-                found = [refs_of(e) for e in elements if e] if elements is not None else []
+            rows, poss, refs, packed = [], [], [], []
+            for row, elements in enumerate(batch.column(1).to_pylist()):
+                found = [refs_of(e) for e in elements if e]
                 many = any(len(f) > 1 for f in found)
                 for pos, ref in enumerate((r for f in found for r in f), 1):
-                    ids.append(row)
+                    rows.append(row)
                     poss.append(pos)
                     refs.append(ref)
                     packed.append(many)
-            yield pd.DataFrame({id_col: pd.Series(ids, dtype=batch["__id"].dtype), "pos": poss, "ipc_ref": refs, "packed": packed}).astype({"pos": "int32", "packed": bool})
+            ids = batch.column(0).take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(poss, pa.int32()), pa.array(refs, pa.string()), pa.array(packed, pa.bool_())], names=[id_col, "pos", "ipc_ref", "packed"])
 
-    return source.where(F.col("__field").isNotNull()).mapInPandas(split, f"`{id_col}` {kind}, pos int, ipc_ref string, packed boolean")
+    return source.where(F.col("__field").isNotNull()).mapInArrow(split, f"`{id_col}` {kind}, pos int, ipc_ref string, packed boolean")
