@@ -22,24 +22,24 @@ from statuteloom.session import keep, stable_cut
 #: Abbreviations whose full stop ends no sentence.
 ABBREVIATIONS = ("no", "nos", "incl", "sec", "ss", "art", "cl", "para", "vol", "ch", "fig", "ref", "dr", "mr", "mrs", "ms", "st", "vs", "rs", "approx", "etc")
 MAX_SUBJECTS = 200
-_END = (
-    r"(?<=[.?!।…]|[.?!।…][\"”’)])(?<!(?i:(?<![\p{L}\p{N}])(?:" + "|".join(ABBREVIATIONS) + r")\.))[\s\u00a0]+(?=[^\p{Ll}\s])|[\r\n\u2028\u2029]+"
-)
+_ABBREVIATED = r"(?i)(?<![\p{L}\p{N}])(" + "|".join(ABBREVIATIONS) + r")\.[ \t\u00a0]+"
+_END = r"([.?!\u0964\u2026][\"\u201d\u2019)]?)[ \t\u00a0]+(?=[^\p{Ll}\s])"
 
 
 def sentences(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, sentence): sentences of each text, collapsed, lower-case, digits masked; lines end sentences too. NULL and blank texts give none."""
-    parts = docs.select(F.col(id_col), F.explode(F.split(F.col(text), _END)).alias("part"))
+    marked = F.regexp_replace(F.regexp_replace(F.col(text), _ABBREVIATED, "$1."), _END, "$1\n")
+    parts = docs.select(F.col(id_col), F.explode_outer(F.split(marked, r"[\r\n\u2028\u2029]+")).alias("part"))  # outer: else a filter repeats the split
     plain = F.lower(F.trim(F.regexp_replace(F.regexp_replace("part", r"(?U)[\s\u200b]+", " "), r"(?U)\d+", "9")))
     return parts.select(id_col, plain.alias("sentence")).where(F.col("sentence").rlike(r"(?U)[\p{L}]"))
 
 
 def phrases(keys: DataFrame) -> DataFrame:
-    """(sid, phrase): distinct words and pairs of neighbouring words of each distinct sentence."""
-    words = F.regexp_extract_all(F.col("sentence"), F.lit(r"(?U)[\p{L}\p{M}]+(?:['’-][\p{L}\p{M}]+)*"), F.lit(0))
-    padded = keys.select("sid", words.alias("w"))
-    pairs = F.zip_with(F.col("w"), F.slice(F.col("w"), 2, 100_000), lambda a, b: F.concat_ws(" ", a, b))
-    return padded.select("sid", F.explode(F.array_distinct(F.concat("w", F.slice(pairs, 1, F.greatest(F.size("w") - 1, F.lit(0)))))).alias("phrase"))
+    """(sid, phrases array<bigint>): hashes of the distinct words and pairs of neighbouring words of each distinct sentence."""
+    words = F.regexp_extract_all(F.col("sentence"), F.lit(r"(?U)[\p{L}\p{M}]+(?:['\u2019-][\p{L}\p{M}]+)*"), F.lit(0))
+    single = keys.select("sid", F.transform(words, lambda w: F.xxhash64(w)).alias("w"))
+    pairs = F.zip_with(F.slice(F.col("w"), 1, F.greatest(F.size("w") - 1, F.lit(0))), F.slice(F.col("w"), 2, F.greatest(F.size("w"), F.lit(1))), lambda a, b: F.xxhash64(a, b))
+    return single.select("sid", F.array_distinct(F.concat("w", pairs)).alias("phrases"))
 
 
 def _sums(names: list[str]) -> list[Column]:
@@ -82,9 +82,10 @@ class Propagation:
         """
         row = heard.agg(F.sum("seen").alias("n"), *_sums(self.w)).first()  # one row: the share of each subject among what was heard
         base = [(row[n] or 0.0) / (row["n"] or 1.0) + 1e-4 for n in self.w]
-        rated = made_of.join(heard, "sid").groupBy("phrase").agg(F.sum("seen").alias("seen"), *_sums(self.w))
+        rated = made_of.join(heard, "sid").withColumn("phrase", F.explode("phrases")).groupBy("phrase").agg(F.sum("seen").alias("seen"), *_sums(self.w))
         lift = [F.log((F.col(n) + self.smooth * b) / (F.col("seen") + self.smooth) / b).alias(q) for n, q, b in zip(self.w, self.q, base)]
-        by_phrase = made_of.join(rated.select("phrase", *lift), "phrase").groupBy("sid").agg(*_sums(self.q))
+        parts = made_of.select("sid", F.explode("phrases").alias("phrase"))
+        by_phrase = parts.join(rated.select("phrase", *lift), "phrase").groupBy("sid").agg(*_sums(self.q))
         both = by_phrase.join(heard, "sid", "full").na.fill(0.0)
         raw = [F.col(q) + math.log(b) for q, b in zip(self.q, base)]
         top = F.greatest(*raw) if len(raw) > 1 else raw[0]
@@ -121,9 +122,9 @@ def document_subjects(docs: DataFrame, labels: DataFrame, subject_list: DataFram
         return docs.select(id_col, F.lit("").alias("subject"), F.lit(0.0).alias("share")).where(F.lit(False))
     work = Propagation(names)
     said = sentences(docs, id_col, text).withColumn("sid", F.unhex(F.md5("sentence")))
-    held = keep(said.groupBy(id_col, "sid").agg(F.count(F.lit(1)).alias("n"), F.min("sentence").alias("sentence")))
+    held = keep(said.groupBy(id_col, "sid", "sentence").agg(F.count(F.lit(1)).alias("n")))  # strings as keys, not as aggregates: hashed, not sorted
     edges = held.select(id_col, "sid", "n")
-    made_of = keep(phrases(held.groupBy("sid").agg(F.min("sentence").alias("sentence"))))
+    made_of = keep(phrases(held.select("sid", "sentence").distinct()))
     seeds = keep(work.seeds(labels, id_col))
     known = seeds
     for left in range(rounds, 0, -1):
