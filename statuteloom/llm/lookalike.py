@@ -81,7 +81,7 @@ def canonical_forms(values: DataFrame, keys: Sequence[str], text: str = "text")
     each other; NULL texts keep a NULL form and empty or blank ones get "". Rows are neither dropped nor multiplied.
     """
     formed = values.drop("canonical").withColumn("__form", plain_form(F.col(text)))
-    own = classes(formed.withColumnRenamed("__form", "form"), keys).select(*(F.col(k).alias(f"__{k}") for k in keys), F.col("collated").alias("__collated"), "canonical")
+    own = classes(formed.select(*keys, F.col("__form").alias("form")), keys).select(*(F.col(k).alias(f"__{k}") for k in keys), F.col("collated").alias("__collated"), "canonical")
     on = F.collate("__form", "UNICODE") == F.col("__collated")
     for k in keys:
         on = on & F.col(k).eqNullSafe(F.col(f"__{k}"))
