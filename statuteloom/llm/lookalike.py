@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from statuteloom.functions.text import strip
 from statuteloom.session import keep
 
 #: Letters of other scripts, and Latin variants, that are drawn like a plain Latin letter.
@@ -61,11 +62,11 @@ def plain_form(text: Column) -> Column:
     out = F.translate(text, wrong + unseen, right)
     for ligature, letters in LIGATURES.items():
         out = F.replace(out, F.lit(ligature), F.lit(letters))
-    return F.regexp_replace(out, r"(?U)\A\s+|\s+\z", "")
+    return trimmed(out)
 
 
 def trimmed(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)\A\s+|\s+\z", "")
+    return strip(text)
 
 
 def classes(values: DataFrame, keys: Sequence[str], form: str = "form") -> DataFrame:
