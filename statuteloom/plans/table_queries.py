@@ -244,7 +244,8 @@ ORACLES = {
                count(*) - count(DISTINCT section) AS repeats, count(*) FILTER (trim(coalesce(title, '')) = '') AS untitled, count(*) FILTER (trim(coalesce(text, '')) = '') AS empty
         FROM sections GROUP BY edition, act""",
     "handcheck_sample": f"SELECT ordinal, bns, status, bns_title FROM map_row ORDER BY {_HASH.format(chr(39) + '42:' + chr(39) + ' || ordinal')}, ordinal LIMIT 40",
-    "line_rebuild": r"SELECT sec_id, CAST(ceil(length(title) / 60.0) AS BIGINT) AS lines, length(regexp_replace(title, '[\s\p{Z}]', '', 'g')) AS inked FROM sections WHERE title IS NOT NULL",
+    "line_rebuild": r"""SELECT sec_id, len(list_filter(list_transform(range(0, length(title), 60), lambda k: title[k + 1 : k + 60]), lambda x: regexp_matches(x, '[^\s\p{Z}]'))) AS lines,
+        length(regexp_replace(title, '[\s\p{Z}]', '', 'g')) AS inked FROM sections WHERE title IS NOT NULL""",
     "bm25_topk": f"WITH {_bm25(5)} SELECT * FROM ranked",
     "dense_topk": f"WITH {_cosine(5, False)} SELECT * FROM ranked",
     "rank_fusion": f"""WITH {_bm25(20, "a")}, {_bm25(20, "b", 0.9, 0.4)},
