@@ -47,9 +47,7 @@ def parse_refs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def canonical_queries(spark: SparkSession, d: str) -> DataFrame:
-    return read_table(spark, d, "ipc_details").where("section is not null").select("section", refs.canonical_query(F.col("section")).alias("key")).distinct()
-
-
+    return read_table(spark, d, "mapping_sample").where("ipc_section is not null").select("row_id", refs.canonical_query(F.col("ipc_section")).alias("key"))
 
 
 def _normal(spark: SparkSession, d: str) -> DataFrame:
@@ -178,7 +176,10 @@ ORACLES = {
         numbers AS (SELECT n, roman FROM table_of WHERE rest = 0)
         SELECT sec_id, section, a.roman, CAST(a.n AS INT) AS back, CAST(b.n AS INT) AS chapter FROM sections LEFT JOIN numbers a ON a.n = section LEFT JOIN numbers b ON b.roman = chapter_no""",
     "letter_labels": f"SELECT label, count(*) AS n, CAST({_LETTER.format('label')} AS INT) AS idx FROM (SELECT lower(regexp_extract(unnest(ipc), '^\\s*[0-9]+([A-Za-z]+)', 1)) AS label FROM map_row) WHERE label <> '' GROUP BY label",
-    "canonical_queries": r"SELECT DISTINCT section, CASE WHEN regexp_matches(section, '[0-9]') THEN regexp_extract(x, '([0-9]{1,3})', 1) || upper(regexp_extract(x, '[0-9]{1,3}\s*-?\s*([A-Za-z]{1,2})', 1)) || regexp_extract(x, '[0-9]{1,3}\s*-?\s*(?:[A-Za-z]{1,2})?\s*((?:\([0-9]+\))*)', 1) ELSE upper(trim(section)) END AS key FROM (SELECT section, regexp_replace(section, '(?i)^\s*ipc_?', '') AS x FROM ipc_details WHERE section IS NOT NULL)",
+    "canonical_queries": r"""
+        WITH q AS (SELECT row_id, ipc_section AS raw, regexp_replace(regexp_replace(regexp_replace(ipc_section, '(?i)\b(?:ipc|indian penal code|sections?|secs?\.?|s\.)', ' ', 'g'), '^\s+', ''), '(?i)^\s*ipc', '') AS x FROM mapping_sample WHERE ipc_section IS NOT NULL),
+        m AS (SELECT *, regexp_extract(x, '([0-9]{1,3})\s*-?\s*([A-Za-z]{1,2})?\s*((?:\([0-9]+\))*)', ['n', 'l', 'g']) AS h FROM q)
+        SELECT row_id, CASE WHEN h.n <> '' THEN h.n || upper(h.l) || h.g ELSE upper(regexp_replace(raw, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g')) END AS key FROM m""",
     "subsections": _UNITS,
     "blocks": _BLOCK_WALK + " SELECT sec_id, CAST(unit AS INT) AS k, kind, label, md5(string_agg(p[i], chr(10) ORDER BY i)) AS digest FROM walk WHERE i > 0 GROUP BY sec_id, unit, kind, label",
     "illustrations": _BLOCK_WALK
@@ -195,6 +196,20 @@ ORACLES = {
         walk AS (SELECT doc_id, n, 0 AS i, 0 AS total, 0 AS grp FROM c
                  UNION ALL SELECT doc_id, n, i + 1, CASE WHEN grp > 0 AND total + n[i + 1] <= 60 THEN total + n[i + 1] ELSE n[i + 1] END, CASE WHEN grp > 0 AND total + n[i + 1] <= 60 THEN grp ELSE grp + 1 END FROM walk WHERE i < len(n))
         SELECT doc_id, coalesce(list(grp ORDER BY i) FILTER (i > 0), []) AS groups FROM walk GROUP BY doc_id""",
+    "transcriptions": rf"""
+        WITH RECURSIVE steps(sign, val) AS (VALUES ('M', 1000), ('CM', 900), ('D', 500), ('CD', 400), ('C', 100), ('XC', 90), ('L', 50), ('XL', 40), ('X', 10), ('IX', 9), ('V', 5), ('IV', 4), ('I', 1)),
+        romans(n, rest, roman) AS (SELECT n, n, '' FROM range(1, 1001) t(n)
+            UNION ALL SELECT n, rest - (SELECT max(val) FROM steps WHERE val <= rest), roman || (SELECT max_by(sign, val) FROM steps WHERE val <= rest) FROM romans WHERE rest > 0),
+        k AS (SELECT *, regexp_replace({norm("coalesce(description, '')")}, '([a-z]{{3}})[0-9]{{1,2}}([\s.,;:)]|$)', '\1\2', 'g') AS t FROM kaggle_bns_sample),
+        l AS (SELECT kb_id, list_filter(string_split(t, chr(10)), lambda x: x <> '') AS p FROM k),
+        walk AS (SELECT kb_id, p, 0 AS i, 1 AS nxt, 0 AS unit FROM l
+            UNION ALL SELECT kb_id, p, i + 1, nxt + s::INT, unit + (s OR unit = 0)::INT
+            FROM (SELECT *, coalesce(TRY_CAST(nullif(regexp_extract(p[i + 1], '^\(([0-9]{{1,3}})\)', 1), '') AS INT) = nxt, FALSE) AS s FROM walk WHERE i < len(p))),
+        u AS (SELECT kb_id, max(unit) AS units FROM walk GROUP BY kb_id)
+        SELECT kb_id, act, TRY_CAST(trim(section) AS INT) AS section, regexp_replace({norm("coalesce(section_name, '')")}, '[ .—-]+$', '') AS title,
+               CASE WHEN regexp_full_match(trim(coalesce(chapter, '')), '[0-9]+') THEN roman ELSE nullif(trim(coalesce(chapter, '')), '') END AS chapter_no,
+               nullif({norm("coalesce(chapter_name, '')")}, '') AS chapter_title, md5(t) AS digest, CAST(units AS INT) AS units, t = '' AS empty
+        FROM k LEFT JOIN (SELECT n, roman FROM romans WHERE rest = 0) r ON r.n = TRY_CAST(trim(chapter) AS INT) LEFT JOIN u USING (kb_id)""",
     "headers": f"""SELECT sec_id, concat('[BNS ', section, '] ', coalesce(title, '')) || coalesce(' | Chapter ' || nullif(chapter_no, '') || coalesce(': ' || nullif(chapter_title, ''), ''), '')
         || CASE WHEN len(refs) > 0 THEN ' | Formerly: ' || array_to_string(refs[1:5], ', ') || CASE WHEN len(refs) > 5 THEN ', …' ELSE '' END ELSE '' END AS header
         FROM sections LEFT JOIN {_REFS_OF_SECTION} r ON r.bns_section = section WHERE act = 'BNS'""",

@@ -33,9 +33,9 @@ def test_flags_hints_and_notes(spark):
     assert not got["BNSS", 1].flagged and got["BNS", 4].title_score == 0.0 and got["BNS", 4].flagged
     assert got["BNS", 5].flagged and got["BNS", 5].hint == "no reference row" and got["BNS", 5].title_score is None
     compared = c.compare(ours, theirs, ["act", "section"], ["BNSS"])
-    earlier = spark.createDataFrame([("BNS", 2, "Kaggle wrong", "n"), ("BNS", 3, "who knows", "m")], "act string, section int, verdict string, note string")
-    kept = {r.section: r for r in c.carry_over(compared, earlier, ["act", "section"], ["Kaggle wrong"]).collect()}
-    assert (kept[2].verdict, kept[3].verdict, kept[3].note) == ("Kaggle wrong", "", "m")
+    earlier = spark.createDataFrame([("BNS", 2, "theirs wrong", "n"), ("BNS", 3, "who knows", "m")], "act string, section int, verdict string, note string")
+    kept = {r.section: r for r in c.carry_over(compared, earlier, ["act", "section"], ["theirs wrong"]).collect()}
+    assert (kept[2].verdict, kept[3].verdict, kept[3].note) == ("theirs wrong", "", "m")
     lines = [r.line for r in c.report_lines(compared.where("section = 5")).collect()]
     assert lines == ["| BNS 5 | P/Q | n/a | n/a | no reference row |  |  |"]
     assert c.compare(ours.limit(0), theirs, ["act", "section"]).count() == 0

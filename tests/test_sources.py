@@ -36,8 +36,8 @@ def test_jsonl_and_json(spark, tmp_path):
 
 
 def test_markdown_tokens_yaml_manifest(spark, tmp_path):
-    (tmp_path / "r.md").write_text("# x\n| Section | a |\n|---|---|\n| BNS 5 | T | 80.0 | n/a | h | Kaggle wrong | my note |\n| BNS 6 | short |\n")
-    assert [tuple(r) for r in readers.verdicts(spark, str(tmp_path / "r.md")).collect()] == [("BNS", 5, "Kaggle wrong", "my note")]
+    (tmp_path / "r.md").write_text("# x\n| Section | a |\n|---|---|\n| BNS 5 | T | 80.0 | n/a | h | theirs wrong | my note |\n| BNS 6 | short |\n")
+    assert [tuple(r) for r in readers.verdicts(spark, str(tmp_path / "r.md")).collect()] == [("BNS", 5, "theirs wrong", "my note")]
     d = tmp_path / "tok"
     d.mkdir()
     for name, data in (("a", " k1 \n".encode("utf-8-sig")), ("b", "k2".encode("utf-16")), ("c", b"k3\n")):
