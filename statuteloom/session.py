@@ -56,5 +56,5 @@ def small_side(df: DataFrame, rows: int = 10_000) -> DataFrame:
 
     For tables of a few short fields: the rows are read once and come back as a local relation.
     """
-    head = df.limit(rows + 1).collect()
-    return F.broadcast(df.sparkSession.createDataFrame(head, df.schema)) if len(head) <= rows else df
+    head = df.limit(rows + 1).toArrow()
+    return F.broadcast(df.sparkSession.createDataFrame(head, df.schema)) if head.num_rows <= rows else df
