@@ -142,3 +142,22 @@ def threshold(scored: DataFrame, label: str, most_false: float = 0.05, bins: int
     w = Window.partitionBy(F.lit(0))
     below = tally.withColumn("below", F.sum("good").over(w.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1))).withColumn("all", F.sum("good").over(w))
     return below.where(F.coalesce(F.col("below"), F.lit(0)) <= F.lit(most_false) * F.col("all")).agg((F.max("bin") / bins).alias("threshold"))
+
+
+def dangling(rows: DataFrame, corpus: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows whose keys the corpus lacks (NULL keys lack nothing): what a validator of questions or references reports."""
+    whole = F.lit(True)
+    for c in on:
+        whole = whole & F.col(c).isNotNull()
+    return rows.where(whole).join(corpus.select(*on).distinct(), list(on), "left_anti")
+
+
+def fingerprint(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(n, digest): number of rows and a digest of their contents that does not depend on order or partitioning."""
+    row = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in columns])
+    return df.agg(F.count(F.lit(1)).alias("n"), F.hex(F.bit_xor(row)).alias("digest"))
+
+
+def ablations(results: DataFrame, config: str = "config", measures: Sequence[str] = ("recall", "mrr", "ndcg")) -> DataFrame:
+    """One row a configuration and one column a split and measure, from rows (config, split, measures...)."""
+    return results.groupBy(config).pivot("split", ["dev", "test"]).agg(*[F.round(F.max(m), 4).alias(m) for m in measures])

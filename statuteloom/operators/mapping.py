@@ -121,6 +121,11 @@ def agreement_rows(rows: DataFrame, reference: DataFrame, section: str, refs: st
     return joined.withColumn("agrees", F.coalesce(ok, F.lit(False)))
 
 
+def of_act(reference: DataFrame, act: str = "BNS", column: str = "act") -> DataFrame:
+    """Rows of one act; without such a column, or with NULL in it, a row counts as that act's."""
+    return reference.where(F.coalesce(F.trim(column), F.lit(act)) == act) if column in reference.columns else reference
+
+
 def agreement(judged: DataFrame) -> DataFrame:
     """(n, agree, rate) of agreement_rows; the rate has four places and is NULL without rows."""
     out = judged.agg(F.count(F.lit(1)).alias("n"), F.count_if("agrees").alias("agree"))

@@ -32,10 +32,18 @@ def corpus_statistics(docs: DataFrame, toks: str = "toks") -> tuple[int, float]:
     return row["n"], row["avg"] or 1.0
 
 
-def idf(docs: DataFrame, wanted: DataFrame, count: int, toks: str = "toks") -> DataFrame:
-    """(term, idf) of the wanted terms over all documents, ln(1 + (N - df + 0.5) / (df + 0.5)); partial counts come first."""
+def idf(docs: DataFrame, wanted: DataFrame, count: int, toks: str = "toks", okapi: bool = False) -> DataFrame:
+    """(term, idf) of the wanted terms over all documents; partial counts come first.
+
+    ln(1 + (N - df + 0.5) / (df + 0.5)), or with okapi ln((N - df + 0.5) / (df + 0.5)) where a negative value becomes a
+    quarter of the mean over all terms.
+    """
     df = docs.select(F.explode(F.array_distinct(toks)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    return wanted.join(df, "term").select("term", F.log1p((F.lit(count) - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
+    odds = (F.lit(count) - F.col("df") + 0.5) / (F.col("df") + 0.5)
+    if not okapi:
+        return wanted.join(df, "term").select("term", F.log1p(odds).alias("idf"))
+    mean = df.agg(F.avg(F.log(odds))).first()[0] or 0.0
+    return wanted.join(df, "term").select("term", F.when(F.log(odds) < 0, F.lit(0.25 * mean)).otherwise(F.log(odds)).alias("idf"))
 
 
 def _best(frame: pd.DataFrame, k: int, id_name: str) -> pd.DataFrame:
@@ -57,7 +65,7 @@ def _blocks(queries: DataFrame, key: str, block: int) -> Iterator[list]:
             yield rows
 
 
-def bm25(docs: DataFrame, queries: DataFrame, k: int = 5, k1: float = 1.2, b: float = 0.75, doc_id: str = "doc_id", query_id: str = "query", block: int = BLOCK, places: int = 4) -> DataFrame:
+def bm25(docs: DataFrame, queries: DataFrame, k: int = 5, k1: float = 1.2, b: float = 0.75, doc_id: str = "doc_id", query_id: str = "query", block: int = BLOCK, places: int = 4, okapi: bool = False) -> DataFrame:
     """(query, doc_id, score, rank): the k best documents of each query by Okapi BM25 over its distinct terms.
 
     docs(doc_id, toks) and queries(query, toks). Scores are rounded to `places` before ranking; ties go to the lower id.
@@ -65,7 +73,7 @@ def bm25(docs: DataFrame, queries: DataFrame, k: int = 5, k1: float = 1.2, b: fl
     """
     count, mean = corpus_statistics(docs)
     asked = queries.select(F.col(query_id).alias("query"), F.array_distinct("toks").alias("terms")).where(F.size("terms") > 0)
-    weights = idf(docs, asked.select(F.explode("terms").alias("term")).distinct(), count)
+    weights = idf(docs, asked.select(F.explode("terms").alias("term")).distinct(), count, okapi=okapi)
     termed = asked.select("query", F.explode("terms").alias("term")).join(weights, "term").groupBy("query").agg(F.collect_list(F.struct("term", "idf")).alias("terms"))
     kind = docs.schema[doc_id].dataType.simpleString()
     qkind = queries.schema[query_id].dataType.simpleString()

@@ -150,6 +150,12 @@ def citation_validate(spark: SparkSession, d: str) -> DataFrame:
     return evaluation.check_citations(read_table(spark, d, "documents"), read_table(spark, d, "sections"))
 
 
+def dangling_refs(spark: SparkSession, d: str) -> DataFrame:
+    """New references of the table that no edition of the code has."""
+    rows = read_table(spark, d, "map_row").select(F.lit("BNS").alias("act"), F.col("bns_section").alias("section"), "ordinal")
+    return evaluation.dangling(rows, read_table(spark, d, "sections"), ["act", "section"]).groupBy("section").agg(F.count(F.lit(1)).alias("n"), F.min("ordinal").alias("first"))
+
+
 def citation_density(spark: SparkSession, d: str) -> DataFrame:
     shares = read_table(spark, d, "documents").select("source", evaluation.cited_sentences(F.col("text")).alias("share"))
     return shares.groupBy("source").agg(F.count("share").alias("n"), F.count_if(F.col("share") > 0).alias("citing"), F.count_if(F.col("share") >= 0.8).alias("well_cited"))
@@ -191,7 +197,7 @@ QUERIES = {
     q.__name__: q
     for q in (
         map_load, map_lookup, reverse_index, section_refs, status_counts, agreement, crosscheck, crosscheck_summary, crosscheck_coverage, numbering, handcheck_sample, line_rebuild,
-        bm25_topk, dense_topk, rank_fusion, collapse_sections, ir_metrics, bootstrap_ci, split_stratified, leakage_guard, citation_validate, citation_density, refusal_metrics,
+        bm25_topk, dense_topk, rank_fusion, collapse_sections, ir_metrics, bootstrap_ci, split_stratified, leakage_guard, citation_validate, dangling_refs, citation_density, refusal_metrics,
         answerability, file_manifest, event_windows, event_sessions,
     )
 }
@@ -277,6 +283,7 @@ ORACLES = {
             FROM (SELECT doc_id, unnest(regexp_extract_all(text, '\b(?:BNSS|BNS|BSA)\s+[0-9]{1,3}(?:\([0-9a-z]+\))*')) AS x FROM documents)),
         s AS (SELECT DISTINCT act, section, 1 AS i FROM sections)
         SELECT doc_id, count(*) AS n, count(i) AS known, count(*) - count(i) AS unknown FROM c LEFT JOIN s USING (act, section) GROUP BY doc_id""",
+    "dangling_refs": "SELECT bns_section AS section, count(*) AS n, min(ordinal) AS first FROM map_row WHERE bns_section IS NOT NULL AND bns_section NOT IN (SELECT section FROM sections WHERE act = 'BNS') GROUP BY bns_section",
     "event_windows": "SELECT date_trunc('day', ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL",
     "event_sessions": """
         SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 6 HOUR AS session_end, count(*) AS n FROM (

@@ -54,6 +54,11 @@ def test_agreement(spark, rows):
     assert tuple(m.agreement(judged).first()) == (4, 2, 0.5) and tuple(m.agreement(judged.limit(0)).first()) == (0, 0, None)
 
 
+def test_rows_of_one_act(spark):
+    df = spark.createDataFrame([("BNS ", 1), (None, 2), ("BSA", 3)], "act string, n int")
+    assert sorted(r.n for r in m.of_act(df).collect()) == [1, 2] and m.of_act(df.drop("act")).count() == 3
+
+
 def test_patches_meet_exactly_one_row(spark, rows):
     good = spark.createDataFrame([("103(1)", "Murder (corrected)")], "bns string, bns_title string")
     out = m.patch(rows, ["bns"], good, ["bns_title"], rows.limit(1).withColumn("ordinal", F.lit(99)))

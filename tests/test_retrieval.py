@@ -37,6 +37,13 @@ def test_bm25_against_brute_force(spark, block):
     assert r.bm25(docs.limit(0), docs.limit(0).withColumnRenamed("doc_id", "query")).count() == 0
 
 
+def test_okapi_floor(spark):
+    docs = spark.createDataFrame([(k, ["common"] + (["rare"] if k == 0 else [])) for k in range(5)], "doc_id bigint, toks array<string>")
+    got = {x.term: x.idf for x in r.idf(docs, spark.createDataFrame([("common",), ("rare",), ("none",)], "term string"), 5, okapi=True).collect()}
+    rare, common = math.log(4.5 / 1.5), math.log(0.5 / 5.5)
+    assert got == {"rare": pytest.approx(rare), "common": pytest.approx(0.25 * (rare + common) / 2)}
+
+
 def test_dense_ties_zero_and_null_vectors(spark):
     v = spark.createDataFrame([(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 1.0]), (4, [0.0, 0.0]), (5, None), (6, []), (7, [1.0, 1.0])], "vec_id bigint, embedding array<float>")
     q = v.where("vec_id in (1, 4, 5)").withColumnRenamed("vec_id", "query")
@@ -101,3 +108,14 @@ def test_answerability_on_held_out_rows(spark):
     df = spark.createDataFrame(rows, "id int, label double, a double, b double")
     got = e.answerability(df, ["a", "b"], "label", "id", F.col("id") < 200).where("id >= 200")
     assert got.where((F.col("probability") > 0.5) == (F.col("label") == 1)).count() >= 95
+
+
+def test_dangling_fingerprint_ablations(spark):
+    rows = spark.createDataFrame([("BNS", 1), ("BNS", 9), (None, 9), ("BNS", None)], "act string, section int")
+    corpus = spark.createDataFrame([("BNS", 1), ("BNS", 1)], "act string, section int")
+    assert [tuple(x) for x in e.dangling(rows, corpus, ["act", "section"]).collect()] == [("BNS", 9)]
+    a = e.fingerprint(rows, ["act", "section"]).first()
+    assert a == e.fingerprint(rows.repartition(3), ["act", "section"]).first() and a != e.fingerprint(rows.limit(3), ["act", "section"]).first()
+    results = spark.createDataFrame([("bm25", "dev", 0.5, 0.4, 0.3), ("bm25", "test", 0.6, 0.5, 0.4), ("rrf", "dev", 0.7, 0.6, 0.5)], "config string, split string, recall double, mrr double, ndcg double")
+    got = {x.config: x for x in e.ablations(results).collect()}
+    assert got["bm25"]["test_recall"] == 0.6 and got["rrf"]["test_recall"] is None
