@@ -100,8 +100,8 @@ def same_look(left: DataFrame, right: DataFrame, keys: Sequence[str], left_id: s
     """(left_id, right_id) of rows with equal keys whose texts differ as stored but look the same. NULL keys or texts never pair."""
     side = lambda df, id_, text, name: df.select(*keys, F.lit(name).alias("side"), F.col(id_).alias("id"), F.col(text).alias("text"))
     both = side(left, left_id, left_text, "l").unionAll(side(right, right_id, right_text, "r")).where(F.col("text").isNotNull())
-    formed = keep(both.select(*keys, "side", "id", trimmed(F.col("text")).alias("stored"), plain_form(F.col("text")).alias("form")))
-    own = classes(formed, keys).withColumnRenamed("canonical", "class")
+    formed = keep(both.select(*keys, "side", "id", F.md5(trimmed(F.col("text"))).alias("stored"), plain_form(F.col("text")).alias("form")))
+    own = classes(formed, keys).select(*keys, "collated", F.md5("canonical").alias("class"))  # digests, so that a text travels once
     member = formed.withColumn("collated", F.collate("form", "UNICODE")).join(own, [*keys, "collated"]).drop("collated")
     a = member.where("side = 'l'").select(*keys, "class", F.col("id").alias(left_id), F.col("stored").alias("stored_l"), F.col("form").alias("form_l"))
     b = member.where("side = 'r'").select(*keys, "class", F.col("id").alias(right_id), F.col("stored").alias("stored_r"), F.col("form").alias("form_r"))
