@@ -113,7 +113,7 @@ def check_citations(answers: DataFrame, corpus: DataFrame, answer: str = "doc_id
     Citations become rows, are made distinct and joined to the distinct sections of the corpus; a hot citation is one key
     of a join whose right side has one row for it.
     """
-    cited = answers.select(F.col(answer), F.explode(citations(F.col(text))).alias("c")).select(answer, "c.act", "c.section").distinct()
+    cited = answers.select(F.col(answer), F.explode_outer(citations(F.col(text))).alias("c")).where("c IS NOT NULL").select(answer, "c.act", "c.section").distinct()
     have = corpus.select("act", "section", F.lit(1).alias("_in")).distinct()
     return cited.join(have, ["act", "section"], "left").groupBy(answer).agg(F.count(F.lit(1)).alias("n"), F.count("_in").alias("known"), F.count_if(F.col("_in").isNull()).alias("unknown"))
 

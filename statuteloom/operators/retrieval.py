@@ -38,7 +38,7 @@ def idf(docs: DataFrame, wanted: DataFrame, count: int, toks: str = "toks", okap
     ln(1 + (N - df + 0.5) / (df + 0.5)), or with okapi ln((N - df + 0.5) / (df + 0.5)) where a negative value becomes a
     quarter of the mean over all terms.
     """
-    df = docs.select(F.explode(F.array_distinct(toks)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    df = docs.select(F.explode_outer(F.array_distinct(toks)).alias("term")).where("term IS NOT NULL").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     odds = (F.lit(count) - F.col("df") + 0.5) / (F.col("df") + 0.5)
     if not okapi:
         return wanted.join(df, "term").select("term", F.log1p(odds).alias("idf"))

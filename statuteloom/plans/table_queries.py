@@ -10,7 +10,7 @@ from statuteloom.functions import refs
 from statuteloom.functions.text import clean_cell, normalise_text
 from statuteloom.operators import crosscheck as cc
 from statuteloom.operators import evaluation, layout, mapping, retrieval
-from statuteloom.plans.text_queries import cell, key, norm
+from statuteloom.plans.text_queries import cell, norm, old_refs
 from statuteloom.session import read_table
 from statuteloom.sources import readers, writers
 from statuteloom.streaming import incremental
@@ -224,6 +224,12 @@ def _cosine(k: int, others: bool) -> str:
     ranked AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS INT) AS rank FROM near WHERE score > 0) WHERE rank <= {k})"""
 
 
+_DETAILS = f"""(SELECT upper(regexp_replace(trim(section), '(?i)^ipc_?', '')) AS key, min(struct_pack(o := coalesce({cell("offense")}, chr(1)), p := coalesce({cell("punishment")}, chr(1)))) AS d FROM ipc_details GROUP BY 1)"""
+_ENTRIES = rf"""
+    e AS (SELECT row_id AS ordinal, {cell("bns_section")} AS b, {old_refs("ipc_section")} AS ipc, {cell("bns_title")} AS bns_title, {cell("ipc_title")} AS ipc_title, lower(coalesce({cell("status")}, '')) AS s FROM mapping_sample),
+    entries AS (SELECT ordinal, CAST(TRY_CAST(regexp_extract(b, '^[0-9]+') AS INT) AS VARCHAR) || regexp_replace(regexp_replace(b, '^[0-9]+', ''), '\s', '', 'g') AS bns, TRY_CAST(regexp_extract(b, '^[0-9]+') AS INT) AS bns_section, ipc, bns_title, ipc_title,
+        CASE s WHEN '' THEN 'carried_over' WHEN 'change' THEN 'changed' WHEN 'changed' THEN 'changed' WHEN 'deleted' THEN 'deleted' WHEN 'new section' THEN 'new_section' WHEN 'new sub-section' THEN 'new_subsection' WHEN 'new subsection' THEN 'new_subsection' END AS status
+        FROM e WHERE (b IS NULL OR regexp_full_match(b, '[0-9]{{1,3}}\s*(\(\s*[0-9a-z]+\s*\)\s*)*')) AND (b IS NOT NULL OR len(ipc) > 0))"""
 _HASH = "CAST(('0x' || substring(md5({0}), 1, 8)) AS BIGINT)"
 ORACLES = {
     "reverse_index": """
@@ -284,6 +290,19 @@ ORACLES = {
         s AS (SELECT DISTINCT act, section, 1 AS i FROM sections)
         SELECT doc_id, count(*) AS n, count(i) AS known, count(*) - count(i) AS unknown FROM c LEFT JOIN s USING (act, section) GROUP BY doc_id""",
     "dangling_refs": "SELECT bns_section AS section, count(*) AS n, min(ordinal) AS first FROM map_row WHERE bns_section IS NOT NULL AND bns_section NOT IN (SELECT section FROM sections WHERE act = 'BNS') GROUP BY bns_section",
+    "map_load": f"""WITH {_ENTRIES}
+        SELECT ordinal, bns, bns_section, ipc, bns_title, ipc_title, status, nullif(d.o, chr(1)) AS ipc_offence, nullif(d.p, chr(1)) AS ipc_punishment
+        FROM entries LEFT JOIN {_DETAILS} k ON k.key = regexp_replace(ipc[1], '\\(.*', '')""",
+    "agreement": rf"""
+        WITH t AS (SELECT CAST(s AS INT) AS section, theirs FROM (SELECT regexp_extract(coalesce(bns_section, ''), '^\s*([0-9]{{1,3}})', 1) AS s, {old_refs("ipc_section")} AS theirs FROM mapping_sample) WHERE s <> ''),
+        o AS (SELECT bns_section AS section, list(DISTINCT b) FILTER (b IS NOT NULL) AS ours FROM (SELECT bns_section, regexp_replace(unnest(CASE WHEN len(ipc) > 0 THEN ipc ELSE [NULL] END), '\(.*', '') AS b FROM map_row WHERE bns_section IS NOT NULL) GROUP BY 1),
+        j AS (SELECT o.section IS NOT NULL AND ((len(theirs) = 0 AND coalesce(len(ours), 0) = 0) OR coalesce(list_has_any(ours, list_transform(theirs, lambda r: regexp_replace(r, '\(.*', ''))), FALSE)) AS ok FROM t LEFT JOIN o USING (section))
+        SELECT count(*) AS n, count(*) FILTER (ok) AS agree, round(CAST(count(*) FILTER (ok) AS DOUBLE) / nullif(count(*), 0), 4) AS rate FROM j""",
+    "refusal_metrics": rf"""WITH {_ENTRIES},
+        a AS (SELECT DISTINCT regexp_replace(unnest(ipc), '\(.*', '') AS b FROM entries),
+        r AS (SELECT b, b NOT IN (SELECT regexp_replace(x, '\(.*', '') FROM (SELECT unnest(ipc) AS x FROM map_row) WHERE x IS NOT NULL) AS refused, b IN (SELECT key FROM {_DETAILS}) AS ok FROM a)
+        SELECT count(*) AS n, round(CAST(count(*) FILTER (refused AND NOT ok) AS DOUBLE) / nullif(count(*) FILTER (NOT ok), 0), 6) AS refusal_recall,
+               round(CAST(count(*) FILTER (refused AND ok) AS DOUBLE) / nullif(count(*) FILTER (ok), 0), 6) AS false_refusals FROM r""",
     "event_windows": "SELECT date_trunc('day', ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL",
     "event_sessions": """
         SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 6 HOUR AS session_end, count(*) AS n FROM (

@@ -131,6 +131,14 @@ def key(c: str) -> str:
     return f"trim(regexp_replace(lower({c}), '[^a-z0-9]+', ' ', 'g'))"
 
 
+def old_refs(c: str) -> str:
+    """References of a cell. The engine has no look-ahead, so what a small letter behind it forbids is taken out beforehand."""
+    words = rf"regexp_replace(regexp_replace(coalesce({cell(c)}, ''), '(?i)\b(?:sections?|secs?\.?|s\.)\s*', ' ', 'g'), '\band\b|&', ',', 'g')"
+    apart = rf"regexp_replace(regexp_replace({words}, '[A-Z]{{1,2}}([a-z])', ';\1', 'g'), '[0-9]([a-z])', ' \1', 'g')"
+    found = rf"list_transform(regexp_extract_all({apart}, '[0-9]{{1,3}}\s?(?:-\s?)?(?:[A-Z]{{1,2}})?(?:\([0-9]+\))*'), lambda r: regexp_replace(r, '[\s-]', '', 'g'))"
+    return f"list_reduce(list_prepend([], list_transform({found}, lambda r: [r])), lambda a, r: CASE WHEN list_contains(a, r[1]) THEN a ELSE list_concat(a, r) END)"
+
+
 _LINES = f"(SELECT sec_id, string_split({norm('text')}, chr(10)) AS p FROM sections WHERE text IS NOT NULL)"
 _LETTER = "CASE WHEN {0} <> '' AND replace({0}, {0}[1], '') = '' THEN (length({0}) - 1) * 26 + ascii({0}) - 96 END"
 _UNITS = rf"""
@@ -191,6 +199,7 @@ ORACLES = {
             SELECT sec_id, unit, p, i + 1, nxt + s::INT, items + (s OR items = 0)::INT
             FROM (SELECT *, ({_LETTER.format("lab")} = nxt) IS TRUE AS s FROM (SELECT *, regexp_extract(p[i + 1], '^\\(([a-z]{{1,3}})\\)', 1) AS lab FROM items WHERE i < len(p))))
         SELECT sec_id, count(*) AS blocks, sum(items)::BIGINT AS items, sum(length(array_to_string(p, chr(10))))::BIGINT AS chars FROM items WHERE i = len(p) GROUP BY sec_id""",
+    "parse_refs": f"SELECT row_id, {old_refs('ipc_section')} AS refs FROM mapping_sample",
     "pack_groups": rf"""
         WITH RECURSIVE c AS (SELECT doc_id, list_transform(list_filter(string_split({norm("text")}, chr(10)), lambda x: x <> ''), lambda x: len(list_filter(regexp_split_to_array(x, '[\s\p{{Z}}]+'), lambda w: w <> ''))) AS n FROM documents WHERE text IS NOT NULL),
         walk AS (SELECT doc_id, n, 0 AS i, 0 AS total, 0 AS grp FROM c
