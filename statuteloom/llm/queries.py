@@ -97,14 +97,19 @@ def oracle_sql() -> dict[str, str]:
         out = f"translate({column}, {_sql_text(wrong + unseen)}, {_sql_text(right)})"
         for ligature, letters in lookalike.LIGATURES.items():
             out = f"replace({out}, {_sql_text(ligature)}, {_sql_text(letters)})"
-        return f"nfc_normalize(regexp_replace({out}, '^\\s+|\\s+$', '', 'g'))"
+        return f"regexp_replace({out}, '^\\s+|\\s+$', '', 'g')"
 
     trim = r"regexp_replace({}, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')"
     return {
         "p5_found": f"""
-            WITH s AS (SELECT sec_id, edition, act, CAST(section AS VARCHAR) AS section, {trim.format("text")} AS stored, {form("text")} AS form FROM sections WHERE text IS NOT NULL),
-                 k AS (SELECT kb_id, edition, act, section, {trim.format("description")} AS stored, {form("description")} AS form FROM kaggle_bns_sample WHERE description IS NOT NULL)
+            WITH s AS (SELECT sec_id, edition, act, CAST(section AS VARCHAR) AS section, {trim.format("text")} AS stored, nfc_normalize({form("text")}) AS form FROM sections WHERE text IS NOT NULL),
+                 k AS (SELECT kb_id, edition, act, section, {trim.format("description")} AS stored, nfc_normalize({form("description")}) AS form FROM kaggle_bns_sample WHERE description IS NOT NULL)
             SELECT s.sec_id, k.kb_id FROM s JOIN k ON s.edition = k.edition AND s.act = k.act AND s.section = k.section
             WHERE s.form = k.form AND s.stored <> k.stored
         """,
+        "p5_forms": f"""
+            WITH v AS (SELECT 'sections' AS tbl, sec_id AS id, edition, act, CAST(section AS VARCHAR) AS section, {form("text")} AS form FROM sections
+                       UNION ALL SELECT 'kaggle_bns_sample', kb_id, edition, act, section, {form("description")} FROM kaggle_bns_sample)
+            SELECT tbl, id, min(form) OVER (PARTITION BY edition, act, section, nfc_normalize(form)) AS canonical FROM v
+        """,
     }
