@@ -24,6 +24,8 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Fixed value: the published pattern that splits text before the merges of the rank files.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _WORD_BITS = 256
+#: Rows whose ids are held at once.
+ROWS = 512
 
 
 @lru_cache(maxsize=4)
@@ -137,9 +139,11 @@ def encode_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(load_ranks(path))
-        for batch in batches:
-            ids = [encoder.encode(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
-            result = pa.array(map(len, ids), pa.int64()) if count_only else pa.array(ids, pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], result], names=names)
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS):  # the ids of a whole batch of long texts need not be held as objects
+                batch = whole.slice(start, ROWS)
+                ids = [encoder.encode(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
+                result = pa.array(map(len, ids), pa.int64()) if count_only else pa.array(ids, pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], result], names=names)
 
     return df.select(id_col, *carry, F.col(text_col).cast("string").alias("__text")).mapInArrow(run, schema)
