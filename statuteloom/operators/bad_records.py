@@ -1,16 +1,18 @@
 """Separation of delimited records that cannot be loaded from those that can.
 
-Arrow batches are cut into blocks. A block is parsed in bulk by the columnar CSV reader and checked column-wise;
-only when that fails is it halved, again and again, until the offending records stand alone and are diagnosed
-strictly. Nothing is shuffled: the work is one narrow stage over the scan.
+Each Arrow batch is a block. It is checked column-wise and parsed in bulk by the columnar CSV reader; where that fails it
+is halved, again and again, until the offending records stand alone, and only these are diagnosed strictly. Nothing is
+shuffled: the work is one narrow stage over the scan.
 """
 
 from __future__ import annotations
 
 import io
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.csv as pacsv
@@ -20,12 +22,6 @@ from pyspark.sql import functions as F
 CELLS = ("bns_section", "bns_title", "status", "ipc_section", "ipc_title")
 #: What stands for a missing cell, after white space is collapsed and case ignored.
 NULL_MARKS = ("", "nan", "none", "-", "—", "na", "n/a")
-#: Records of a block that is parsed at once.
-BLOCK = 1024
-#: Failing blocks are halved down to this many records, which are then diagnosed one by one: a bulk call has a fixed cost
-#: of about 50 strict parses, whatever it holds.
-LEAF = 32
-
 _CELL = r'(?:"(?:[^"]|"")*"|[^",]*)'
 _RECORD = rf"(?s)\A{_CELL}(?:,{_CELL}){{{len(CELLS) - 1}}}\z"
 _NUMBER = re.compile(r"([0-9]{1,3})\s*(?:\(\s*[0-9a-z]+\s*\)\s*)*")
@@ -83,13 +79,8 @@ def diagnose(line: str | None, statuses: frozenset[str]) -> tuple[list[str] | No
     return cells, None
 
 
-def _bulk(lines: pa.Array, known: set[str], good_status: frozenset[str]) -> list[list[str]] | None:
-    """Columns of a block, or None if any record of it is not plainly loadable.
-
-    known gathers section cells that have passed, so that each distinct one is judged once a task.
-    """
-    if lines.null_count or not pc.all(pc.match_substring_regex(lines, _RECORD)).as_py():
-        return None
+def _bulk(lines: pa.Array) -> list[pa.Array] | None:
+    """Columns of a block, or None if the reader does not find one record a line in it."""
     data = "\n".join(lines.to_pylist()).encode()
     try:
         table = pacsv.read_csv(
@@ -100,35 +91,62 @@ def _bulk(lines: pa.Array, known: set[str], good_status: frozenset[str]) -> list
         )
     except pa.ArrowInvalid:
         return None
-    if table.num_rows != len(lines):
-        return None
-    for section in pc.unique(table["bns_section"]).to_pylist():
-        if section not in known:
-            if not section_ok(section):
-                return None
-            known.add(section)
-    if any(_collapsed(s) not in good_status for s in pc.unique(table["status"]).to_pylist()):
-        return None
-    return [table[c].to_pylist() for c in CELLS]
-
-
-def _walk(lines: pa.Array, statuses: frozenset[str], known: set[str], cells: list[list], reasons: list) -> None:
-    if len(lines) > LEAF:
-        block = _bulk(lines, known, statuses)
-        if block is None:
-            half = len(lines) // 2
-            _walk(lines.slice(0, half), statuses, known, cells, reasons)
-            _walk(lines.slice(half), statuses, known, cells, reasons)
-            return
-        for column, values in zip(cells, block):
-            column.extend(values)
-        reasons.extend([None] * len(lines))
+    return [table[c].combine_chunks() for c in CELLS] if table.num_rows == len(lines) else None
+
+
+def _parsed(rows: np.ndarray, lines: pa.Array) -> Iterator[tuple[np.ndarray, list[pa.Array] | None]]:
+    """(rows, columns) of blocks that parse; a block that fails is halved until a single record fails, with None."""
+    if not len(rows):
+        return
+    columns = _bulk(lines.take(pa.array(rows)))
+    if columns is not None or len(rows) == 1:
+        yield rows, columns
         return
-    for line in lines.to_pylist():
-        found, why = diagnose(line, statuses)
+    half = len(rows) // 2
+    yield from _parsed(rows[:half], lines)
+    yield from _parsed(rows[half:], lines)
+
+
+def _passing(low: int, high: int, failed: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Blocks without a failure, found by halving; failed holds the failures up to each record."""
+    if failed[low] == failed[high]:
+        yield low, high
+    elif high - low > 1:
+        middle = (low + high) // 2
+        yield from _passing(low, middle, failed)
+        yield from _passing(middle, high, failed)
+
+
+def _block(lines: pa.Array, statuses: frozenset[str], right: Callable[[str], bool]) -> tuple[list[list], list]:
+    """Cells by column, and reasons, of the records of a block.
+
+    The structure of all records is checked column-wise at once; failing blocks are halved by the counts of that check until
+    the bad records stand alone. What passes is parsed together and its section (by `right`) and status cells are judged;
+    only records that failed anywhere are diagnosed strictly.
+    """
+    size = len(lines)
+    cells: list[list] = [[None] * size for _ in CELLS]
+    reasons: list = [None] * size
+    fits = pc.fill_null(pc.match_substring_regex(lines, _RECORD), False).to_numpy(zero_copy_only=False)
+    failed = np.concatenate([[0], np.cumsum(~fits)])
+    good = [np.arange(low, high) for low, high in _passing(0, size, failed)] if size else []
+    left = set(np.flatnonzero(~fits).tolist())
+    for rows, columns in _parsed(np.concatenate(good) if good else np.arange(0), lines):
+        if columns is None:
+            left.update(rows.tolist())
+            continue
+        values = [c.to_pylist() for c in columns]
+        for at, section, status in zip(rows.tolist(), values[0], values[2]):
+            if not right(section) or _collapsed(status) not in statuses:
+                left.add(at)
+        for column, own in zip(cells, values):
+            for at, value in zip(rows.tolist(), own):
+                column[at] = value
+    for at in left:
+        found, reasons[at] = diagnose(lines[at].as_py(), statuses)
         for k, column in enumerate(cells):
-            column.append(found[k] if found else None)
-        reasons.append(why)
+            column[at] = found[k] if found else None
+    return cells, reasons
 
 
 def parse_records(df: DataFrame, id_col: str, line_col: str, status_labels: Sequence[str]) -> DataFrame:
@@ -143,13 +161,9 @@ def parse_records(df: DataFrame, id_col: str, line_col: str, status_labels: Sequ
     schema = f"`{id_col}` {kind}, " + ", ".join(f"{c} string" for c in CELLS) + ", reason string"
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: set[str] = set()
+        right = lru_cache(maxsize=50_000)(section_ok)
         for batch in batches:
-            cells: list[list] = [[] for _ in CELLS]
-            reasons: list = []
-            lines = batch.column(1).cast(pa.string())
-            for start in range(0, len(lines), BLOCK):
-                _walk(lines.slice(start, BLOCK), statuses, known, cells, reasons)
+            cells, reasons = _block(batch.column(1).cast(pa.string()), statuses, right)
             columns = [batch.column(0), *(pa.array(c, pa.string()) for c in cells), pa.array(reasons, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=[id_col, *CELLS, "reason"])
 
