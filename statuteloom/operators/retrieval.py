@@ -132,26 +132,15 @@ def dense(vectors: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec
     rounded score go to the lower id.
     """
     kind, qkind = vectors.schema[vec_id].dataType.simpleString(), queries.schema[query_id].dataType.simpleString()
-    usable = lambda df: df.where(F.coalesce(F.exists(vector, lambda x: x != 0), F.lit(False)))
-    rows = usable(vectors).select(F.col(vec_id).alias("id"), F.col(vector).cast("array<double>").alias("v"))
-    asked = usable(queries).select(F.col(query_id).alias("query"), F.col(vector).cast("array<double>").alias("v"))
+    rows, blocks = _cosine_blocks(vectors, queries, vec_id, vector, query_id, block)
     results = []
-    for held in _blocks(asked, "query", block):
-        names, q = [r["query"] for r in held], np.array([r["v"] for r in held])
-        shared = vectors.sparkSession.sparkContext.broadcast((names, (q / np.linalg.norm(q, axis=1, keepdims=True)).T))
+    for shared in blocks:
 
         def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             names, matrix = shared.value
             best = pd.DataFrame({"query": [], "id": [], "score": []})
-            for batch in batches:
-                batch = batch[[len(v) == matrix.shape[0] for v in batch["v"]]]
-                for start in range(0, len(batch), 1024):
-                    part = batch.iloc[start : start + 1024]
-                    v = np.stack(part["v"].to_numpy())
-                    scores = np.round((v / np.linalg.norm(v, axis=1, keepdims=True)) @ matrix, places)
-                    if without_self:
-                        scores[part["id"].to_numpy()[:, None] == np.asarray(names)[None, :]] = -2
-                    best = _keep(best, part["id"].to_numpy(), scores, names, k)
+            for ids, scores in _cosines(batches, names, matrix, places, without_self):
+                best = _keep(best, ids, scores, names, k)
             if len(best):
                 yield best
 
@@ -159,6 +148,57 @@ def dense(vectors: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec
     return _finish(results, vectors, vec_id, kind, qkind, k)
 
 
+def _cosine_blocks(vectors: DataFrame, queries: DataFrame, vec_id: str, vector: str, query_id: str, block: int) -> tuple[DataFrame, Iterator]:
+    """Usable rows (id, v), and broadcasts of (names, normalised query matrix) for each block of queries."""
+    usable = lambda df: df.where(F.coalesce(F.exists(vector, lambda x: x != 0), F.lit(False)))
+    rows = usable(vectors).select(F.col(vec_id).alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    asked = usable(queries).select(F.col(query_id).alias("query"), F.col(vector).cast("array<double>").alias("v"))
+
+    def blocks() -> Iterator:
+        for held in _blocks(asked, "query", block):
+            names, q = [r["query"] for r in held], np.array([r["v"] for r in held])
+            yield vectors.sparkSession.sparkContext.broadcast((names, (q / np.linalg.norm(q, axis=1, keepdims=True)).T))
+
+    return rows, blocks()
+
+
+def _cosines(batches: Iterator[pd.DataFrame], names: Sequence, matrix: np.ndarray, places: int, without_self: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(ids, rounded scores of all queries) of up to 1,024 vectors at a time."""
+    for batch in batches:
+        batch = batch[[len(v) == matrix.shape[0] for v in batch["v"]]]
+        for start in range(0, len(batch), 1024):
+            part = batch.iloc[start : start + 1024]
+            v = np.stack(part["v"].to_numpy())
+            scores = np.round((v / np.linalg.norm(v, axis=1, keepdims=True)) @ matrix, places)
+            if without_self:
+                scores[part["id"].to_numpy()[:, None] == np.asarray(names)[None, :]] = -2
+            yield part["id"].to_numpy(), scores
+
+
+def close(vectors: DataFrame, queries: DataFrame, least: float, vec_id: str = "vec_id", vector: str = "embedding", query_id: str = "query", block: int = BLOCK, places: int = 4) -> DataFrame:
+    """(vec_id, queries, closest): every vector with a cosine of at least `least` to a query vector of another id.
+
+    Counts all such queries, and gives the highest of the rounded scores; a task yields at most one row a vector and block,
+    so groups of copies cost no pairs.
+    """
+    kind = vectors.schema[vec_id].dataType.simpleString()
+    rows, blocks = _cosine_blocks(vectors, queries, vec_id, vector, query_id, block)
+    results = []
+    for shared in blocks:
+
+        def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            names, matrix = shared.value
+            for ids, scores in _cosines(batches, names, matrix, places, True):
+                n = (scores >= least).sum(axis=1)
+                if n.any():
+                    yield pd.DataFrame({"id": ids[n > 0], "n": n[n > 0], "closest": scores[n > 0].max(axis=1)})
+
+        results.append(rows.mapInPandas(run, f"id {kind}, n bigint, closest double"))
+    if not results:
+        return vectors.sparkSession.createDataFrame([], f"`{vec_id}` {kind}, queries bigint, closest double")
+    return reduce(DataFrame.unionAll, results).groupBy(F.col("id").alias(vec_id)).agg(F.sum("n").alias("queries"), F.max("closest").alias("closest"))
+
+
 def fuse(rankings: Sequence[DataFrame], k: int = 60, item: str = "doc_id", top: int | None = None) -> DataFrame:
     """(query, item, score, rank): reciprocal rank fusion, the sum of 1 / (k + rank) over the rankings; ties to the lower item."""
     every = reduce(DataFrame.unionAll, [r.select("query", item, "rank") for r in rankings])

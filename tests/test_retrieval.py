@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from statuteloom.operators import evaluation as e
 from statuteloom.operators import retrieval as r
+from statuteloom.plans.table_queries import QUERIES
 
 
 def test_tokens(spark):
@@ -52,6 +53,27 @@ def test_dense_ties_zero_and_null_vectors(spark):
     assert [x.vec_id for x in r.dense(v, q, 2, without_self=True).orderBy("rank").collect()] == [2, 7]
 
 
+@pytest.mark.parametrize("block", [2, 100])
+def test_every_close_vector_is_counted(spark, block):
+    rows = [(k, [1.0, 0.5, float(k % 3 == 0) * 0.001] if k < 130 else [0.0, 0.1 * (k % 7), 1.0]) for k in range(160)] + [(160, None), (161, [0.0, 0.0, 0.0])]
+    v = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    cos = lambda a, b: round(sum(x * y for x, y in zip(a, b)) / math.hypot(*a) / math.hypot(*b), 4)
+    want = {}
+    for k, a in rows[:160]:
+        near = [s for q, b in rows[:160] if q % 20 == 0 and q != k and (s := cos(a, b)) >= 0.9]
+        if near:
+            want[k] = (len(near), max(near))
+    got = r.close(v, v.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query"), 0.9, block=block).collect()
+    assert {x.vec_id: (x.queries, x.closest) for x in got} == want and len(got) == len(want) > 130
+
+
+def test_leakage_guard_reports_all_copies(spark, tmp_path):
+    rows = [(k, [1.0, 2.0] if k < 120 else [-1.0, float(k % 2)]) for k in range(130)]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = {x.vec_id: (x.queries, x.closest) for x in QUERIES["leakage_guard"](spark, str(tmp_path)).collect() if x.vec_id < 120}
+    assert got == {k: (6 - (k % 20 == 0), 1.0) for k in range(120)}
+
+
 def test_fusion_collapse_and_rerank(spark):
     a = spark.createDataFrame([(1, 10, 9.0, 1), (1, 20, 8.0, 2)], "query bigint, doc_id bigint, score double, rank int")
     b = spark.createDataFrame([(1, 20, 9.0, 1), (1, 30, 8.0, 2)], "query bigint, doc_id bigint, score double, rank int")
