@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from statuteloom.session import stable_cut
+
 #: Words that carry no meaning for search.
 STOP_WORDS = ("a", "an", "and", "any", "are", "as", "at", "be", "by", "for", "from", "has", "he", "in", "is", "it", "of", "on", "or", "shall", "such", "that", "the", "this", "to", "was", "who", "with")
 BLOCK = 2_000
@@ -65,49 +67,130 @@ def _blocks(queries: DataFrame, key: str, block: int) -> Iterator[list]:
             yield rows
 
 
-def bm25(docs: DataFrame, queries: DataFrame, k: int = 5, k1: float = 1.2, b: float = 0.75, doc_id: str = "doc_id", query_id: str = "query", block: int = BLOCK, places: int = 4, okapi: bool = False) -> DataFrame:
+def bm25(docs: DataFrame, queries: DataFrame, k: int = 5, k1: float = 1.2, b: float = 0.75, doc_id: str = "doc_id", query_id: str = "query", block: int = BLOCK, places: int = 4, okapi: bool = False, group: Sequence[str] = ()) -> DataFrame:
     """(query, doc_id, score, rank): the k best documents of each query by Okapi BM25 over its distinct terms.
 
     docs(doc_id, toks) and queries(query, toks). Scores are rounded to `places` before ranking; ties go to the lower id.
-    Queries without a known term have no rows.
+    Queries without a known term have no rows. With `group`, columns of docs that are never NULL, the result is
+    (query, group, score, rank) of the k best distinct groups by their best document; ties go to the lower group.
     """
-    count, mean = corpus_statistics(docs)
-    asked = queries.select(F.col(query_id).alias("query"), F.array_distinct("toks").alias("terms")).where(F.size("terms") > 0)
-    weights = idf(docs, asked.select(F.explode("terms").alias("term")).distinct(), count, okapi=okapi)
-    termed = asked.select("query", F.explode("terms").alias("term")).join(weights, "term").groupBy("query").agg(F.collect_list(F.struct("term", "idf")).alias("terms"))
-    kind = docs.schema[doc_id].dataType.simpleString()
-    qkind = queries.schema[query_id].dataType.simpleString()
-    rows = docs.select(F.col(doc_id).alias("id"), "toks").where(F.size("toks") > 0)
+    rows, blocks, mean = _bm25_blocks(docs, queries, list(group) or [doc_id], query_id, block, okapi)
+    kind, qkind = docs.schema[doc_id].dataType.simpleString(), queries.schema[query_id].dataType.simpleString()
+    keys = list(group) or ["id"]
+    rows = rows if group else rows.withColumnRenamed(doc_id, "id")
+    columns = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keys)
     results = []
-    for held in _blocks(termed, "query", block):
-        names = [r["query"] for r in held]
-        index = {t: j for j, t in enumerate(sorted({t["term"] for r in held for t in r["terms"]}))}
-        matrix = np.zeros((len(index), len(names)))
-        for j, r in enumerate(held):
-            for t in r["terms"]:
-                matrix[index[t["term"]], j] = t["idf"]
-        shared = docs.sparkSession.sparkContext.broadcast((names, index, matrix))
+    for shared in blocks:
 
         def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            names, index, matrix = shared.value
-            best = pd.DataFrame({"query": [], "id": [], "score": []})
-            for batch in batches:
-                for start in range(0, len(batch), 512):
-                    part = batch.iloc[start : start + 512]
-                    tf = np.zeros((len(part), len(index)))
-                    size = np.array([len(t) for t in part["toks"]], dtype=float)
-                    for i, toks in enumerate(part["toks"]):
-                        for t in toks:
-                            if (j := index.get(t)) is not None:
-                                tf[i, j] += 1
-                    weight = tf * (k1 + 1) / (tf + k1 * (1 - b + b * size / mean)[:, None])
-                    scores = np.round(weight @ matrix, places)
-                    best = _keep(best, part["id"].to_numpy(), scores, names, k)
+            names = shared.value[0]
+            best = pd.DataFrame({"query": [], **{c: [] for c in keys}, "score": []})
+            for part, scores in _bm25_scores(batches, shared.value, mean, k1, b, places):
+                best = _keep_groups(best, part[keys], scores, names, k) if group else _keep(best, part["id"].to_numpy(), scores, names, k)
             if len(best):
                 yield best
 
-        results.append(rows.mapInPandas(run, f"query {qkind}, id {kind}, score double"))
-    return _finish(results, docs, doc_id, kind, qkind, k)
+        results.append(rows.mapInPandas(run, f"query {qkind}, {columns}, score double"))
+    if not group:
+        return _finish(results, docs, doc_id, kind, qkind, k)
+    if not results:
+        return docs.sparkSession.createDataFrame([], f"query {qkind}, {columns}, score double, rank int")
+    every = reduce(DataFrame.unionAll, results).groupBy("query", *keys).agg(F.max("score").alias("score"))
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.col("score").desc(), *keys)).cast("int")
+    return every.withColumn("rank", rank).where(F.col("rank") <= k)
+
+
+def _bm25_blocks(docs: DataFrame, queries: DataFrame, keys: Sequence[str], query_id: str, block: int, okapi: bool) -> tuple[DataFrame, Iterator, float]:
+    """Rows (keys, toks), broadcasts of (names, term index, weights) for each block of queries, and the mean length."""
+    count, mean = corpus_statistics(docs)
+    asked = queries.select(F.col(query_id).alias("query"), F.array_distinct("toks").alias("terms")).where(F.size("terms") > 0)
+    weights = idf(docs, asked.select(F.explode("terms").alias("term")).distinct(), count, okapi=okapi)
+    termed = asked.select("query", F.explode("terms").alias("term")).join(weights, "term").groupBy("query").agg(F.collect_list(F.struct("term", "idf")).alias("terms"))
+
+    def blocks() -> Iterator:
+        for held in _blocks(termed, "query", block):
+            names = [r["query"] for r in held]
+            index = {t: j for j, t in enumerate(sorted({t["term"] for r in held for t in r["terms"]}))}
+            matrix = np.zeros((len(index), len(names)))
+            for j, r in enumerate(held):
+                for t in r["terms"]:
+                    matrix[index[t["term"]], j] = t["idf"]
+            yield docs.sparkSession.sparkContext.broadcast((names, index, matrix))
+
+    return docs.select(*keys, "toks").where(F.size("toks") > 0), blocks(), mean
+
+
+def _bm25_scores(batches: Iterator[pd.DataFrame], shared: tuple, mean: float, k1: float, b: float, places: int) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """(rows, rounded scores of all queries) of up to 512 documents at a time."""
+    _, index, matrix = shared
+    for batch in batches:
+        for start in range(0, len(batch), 512):
+            part = batch.iloc[start : start + 512]
+            tf = np.zeros((len(part), len(index)))
+            size = np.array([len(t) for t in part["toks"]], dtype=float)
+            for i, toks in enumerate(part["toks"]):
+                for t in toks:
+                    if (j := index.get(t)) is not None:
+                        tf[i, j] += 1
+            weight = tf * (k1 + 1) / (tf + k1 * (1 - b + b * size / mean)[:, None])
+            yield part, np.round(weight @ matrix, places)
+
+
+def bm25_places(docs: DataFrame, queries: DataFrame, wanted: DataFrame, k1: float = 1.2, b: float = 0.75, doc_id: str = "doc_id", query_id: str = "query", block: int = BLOCK, places: int = 4, okapi: bool = False) -> DataFrame:
+    """(query, doc_id, rank): the exact ranks of the wanted (query, doc_id) in the whole rankings that bm25 cuts at k.
+
+    Two scans: the scores of the wanted, then the number of documents before each; a task yields one row a wanted pair. Pairs
+    without a positive score have no row. The wanted of a block of queries are held by every task.
+    """
+    wanted = stable_cut(wanted.select("query", doc_id).distinct())
+    queries = queries.join(wanted.select(F.col("query").alias(query_id)).distinct(), query_id, "left_semi")
+    rows, blocks, mean = _bm25_blocks(docs, queries, [doc_id], query_id, block, okapi)
+    kind, qkind = docs.schema[doc_id].dataType.simpleString(), queries.schema[query_id].dataType.simpleString()
+    results = []
+    for shared in blocks:
+        session = docs.sparkSession
+        names = session.createDataFrame([(q,) for q in shared.value[0]], f"query {qkind}")
+        pairs: dict = {}
+        for r in wanted.join(names, "query", "left_semi").collect():
+            pairs.setdefault(r[doc_id], []).append(r["query"])
+        asked = session.sparkContext.broadcast(pairs)
+
+        def score(batches: Iterator[pd.DataFrame], shared=shared, asked=asked) -> Iterator[pd.DataFrame]:
+            at = {q: j for j, q in enumerate(shared.value[0])}
+            for part, scores in _bm25_scores(batches, shared.value, mean, k1, b, places):
+                found = [(at[q], x, scores[i, at[q]]) for i, x in enumerate(part[doc_id]) for q in asked.value.get(x, ()) if scores[i, at[q]] > 0]
+                if found:
+                    yield pd.DataFrame(found, columns=["j", doc_id, "score"])
+
+        found = rows.mapInPandas(score, f"j int, `{doc_id}` {kind}, score double").toPandas()
+        if found.empty:
+            continue
+        ids, code = np.unique(found[doc_id].to_numpy(), return_inverse=True)
+        most, unit = len(ids) + 1, 10**places
+        span = (int(round(found["score"].max() * unit)) + 2) * most
+        # one number a query, score and id, higher the earlier in the ranking: a wanted document counts itself
+        key = found["j"].to_numpy().astype("int64") * span + np.rint(found["score"].to_numpy() * unit).astype("int64") * most - code
+        order = np.argsort(key)
+        held = session.sparkContext.broadcast((ids, key[order], most, unit, span))
+
+        def ahead(batches: Iterator[pd.DataFrame], shared=shared, held=held) -> Iterator[pd.DataFrame]:
+            ids, keys, most, unit, span = held.value
+            total, width = np.zeros(len(keys) + 1, dtype="int64"), len(shared.value[0])
+            top = span // most - 1  # all that score more than every wanted one
+            firsts = np.searchsorted(keys, np.arange(width, dtype="int64") * span - most)
+            for part, scores in _bm25_scores(batches, shared.value, mean, k1, b, places):
+                i, j = np.nonzero(scores > 0)
+                whole = np.minimum(np.rint(scores[i, j] * unit).astype("int64"), top)
+                own = j.astype("int64") * span + whole * most - np.searchsorted(ids, part[doc_id].to_numpy())[i]
+                total += np.bincount(np.searchsorted(keys, own, side="right"), minlength=len(total)) - np.bincount(firsts[j], minlength=len(total))
+            # before a wanted one stand those whose place is beyond it, less those of the queries after its own
+            n = np.cumsum(total[::-1])[::-1][1:]
+            yield pd.DataFrame({"c": np.arange(len(keys)), "n": n})
+
+        counts = rows.mapInPandas(ahead, "c bigint, n bigint").groupBy("c").agg(F.sum("n").cast("int").alias("rank"))
+        listed = pd.DataFrame({"c": np.arange(len(order)), "query": np.asarray(shared.value[0], dtype=object)[found["j"].to_numpy()[order]], doc_id: found[doc_id].to_numpy()[order]})
+        results.append(counts.join(session.createDataFrame(listed, f"c bigint, query {qkind}, `{doc_id}` {kind}"), "c").select("query", doc_id, "rank"))
+    return reduce(DataFrame.unionAll, results) if results else docs.sparkSession.createDataFrame([], f"query {qkind}, `{doc_id}` {kind}, rank int")
 
 
 def _keep(best: pd.DataFrame, ids: np.ndarray, scores: np.ndarray, names: Sequence, k: int) -> pd.DataFrame:
@@ -119,6 +202,27 @@ def _keep(best: pd.DataFrame, ids: np.ndarray, scores: np.ndarray, names: Sequen
     return _best(fresh if best.empty else pd.concat([best, fresh]), k, "id") if len(fresh) else best
 
 
+def _keep_groups(best: pd.DataFrame, part: pd.DataFrame, scores: np.ndarray, names: Sequence, k: int) -> pd.DataFrame:
+    """best with the top k groups of a batch per query, each group once with its best score.
+
+    A group that is dropped has k better ones in this task alone, so the best k of all tasks are among those kept.
+    """
+    keys = list(part.columns)
+    code = part.groupby(keys, sort=False).ngroup().to_numpy()
+    order = np.argsort(code, kind="stable")
+    starts = np.flatnonzero(np.diff(code[order], prepend=-1))
+    top = np.maximum.reduceat(scores[order], starts, axis=0)
+    named = part.iloc[order[starts]]
+    take = min(k, len(top))
+    edge = np.partition(top, len(top) - take, axis=0)[len(top) - take]
+    i, j = np.nonzero((top >= edge) & (top > 0))
+    if not len(i):
+        return best
+    fresh = pd.DataFrame({"query": np.asarray(names, dtype=object)[j], **{c: named[c].to_numpy()[i] for c in keys}, "score": top[i, j]})
+    every = (fresh if best.empty else pd.concat([best, fresh])).sort_values(["query", "score", *keys], ascending=[True, False, *[True] * len(keys)])
+    return every.drop_duplicates(["query", *keys]).groupby("query").head(k)
+
+
 def _finish(results: list[DataFrame], docs: DataFrame, doc_id: str, kind: str, qkind: str, k: int) -> DataFrame:
     if not results:
         return docs.sparkSession.createDataFrame([], f"query {qkind}, `{doc_id}` {kind}, score double, rank int")
@@ -207,6 +311,37 @@ def fuse(rankings: Sequence[DataFrame], k: int = 60, item: str = "doc_id", top:
     return ranked if top is None else ranked.where(F.col("rank") <= top)
 
 
+def fuse_exactly(rankers: Sequence[tuple[Callable[[int], DataFrame], Callable[[DataFrame], DataFrame]]], top: int, k: int = 60, item: str = "doc_id") -> DataFrame:
+    """(query, item, score, rank): the `top` first of the fusion of whole rankings, without ranking everything.
+
+    A ranker is (ranking down to a depth, exact ranks of given (query, item)). At the depth taken, an item that no ranking
+    holds is worth less than the first `top` of any one ranking. Of the others, those that could still reach the top are
+    looked up in the rankings that do not hold them.
+    """
+    n = len(rankers)
+    depth = n * (k + top) - k + 1
+    every = reduce(DataFrame.unionAll, [take(depth).select("query", item, "rank", F.lit(j).alias("j")) for j, (take, _) in enumerate(rankers)])
+    at = lambda j: F.max(F.when(F.col("j") == j, F.col("rank")))
+    worth = lambda c: F.coalesce(1.0 / (F.lit(k) + F.col(c)), F.lit(0.0))
+    summed = lambda df: df.withColumn("sum", sum((worth(f"r{j}") for j in range(n)), F.lit(0.0)))
+    every = stable_cut(every)
+    seen = summed(every.groupBy("query", item).agg(*[at(j).alias(f"r{j}") for j in range(n)]))
+    ends = every.groupBy("query").agg(*[at(j).alias(f"m{j}") for j in range(n)])
+    gone = [F.col(f"r{j}").isNull() & (F.col(f"m{j}") >= depth) for j in range(n)]
+    may = sum((F.when(g, 1.0 / (k + depth + 1)).otherwise(0.0) for g in gone), F.col("sum"))
+    place = F.row_number().over(Window.partitionBy("query").orderBy(F.col("sum").desc()))
+    marked = seen.join(ends, "query").withColumn("may", may).withColumn("place", place)
+    least = F.coalesce(F.max(F.when(F.col("place") == top, F.col("sum"))).over(Window.partitionBy("query")), F.lit(0.0))
+    kept = stable_cut(marked.withColumn("least", least).where(F.col("may") >= F.col("least") - 2e-8))
+    full = kept
+    for j, (_, places) in enumerate(rankers):
+        missing = kept.where(gone[j]).select("query", item)
+        if not missing.isEmpty():
+            full = full.join(places(missing).withColumnRenamed("rank", "found"), ["query", item], "left").withColumn(f"r{j}", F.coalesce(f"r{j}", "found")).drop("found")
+    scored = summed(full).select("query", item, F.round("sum", 8).alias("score"))
+    return _merge(scored, top, item).withColumn("rank", F.col("rank").cast("int"))
+
+
 def collapse(ranking: DataFrame, parts: DataFrame, item: str, group: Sequence[str]) -> DataFrame:
     """(query, group, score, rank): the best score of a group's items, ranked anew."""
     best = ranking.join(parts.select(item, *group), item).groupBy("query", *group).agg(F.max("score").alias("score"))

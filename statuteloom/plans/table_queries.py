@@ -113,12 +113,15 @@ def dense_topk(spark: SparkSession, d: str) -> DataFrame:
 
 def rank_fusion(spark: SparkSession, d: str) -> DataFrame:
     docs, asked = _search(spark, d)
-    return retrieval.fuse([retrieval.bm25(docs, asked, 20, doc_id="sec_id"), retrieval.bm25(docs, asked, 20, k1=0.9, b=0.4, doc_id="sec_id")], item="sec_id", top=5)
+    ranker = lambda **kw: (lambda depth: retrieval.bm25(docs, asked, depth, doc_id="sec_id", **kw), lambda wanted: retrieval.bm25_places(docs, asked, wanted, doc_id="sec_id", **kw))
+    return retrieval.fuse_exactly([ranker(), ranker(k1=0.9, b=0.4)], 5, item="sec_id")
 
 
 def collapse_sections(spark: SparkSession, d: str) -> DataFrame:
+    """The 20 best distinct sections of each query; copies of a section in other editions use up no places."""
     docs, asked = _search(spark, d)
-    return retrieval.collapse(retrieval.bm25(docs, asked, 20, doc_id="sec_id"), read_table(spark, d, "sections"), "sec_id", ["act", "section"])
+    keys = read_table(spark, d, "sections").where("text is not null").select("sec_id", "act", "section", retrieval.tokens(F.col("text")).alias("toks"))
+    return retrieval.bm25(keys, asked, 20, doc_id="sec_id", group=["act", "section"])
 
 
 def _gold(spark: SparkSession, d: str) -> DataFrame:

@@ -74,6 +74,75 @@ def test_leakage_guard_reports_all_copies(spark, tmp_path):
     assert got == {k: (6 - (k % 20 == 0), 1.0) for k in range(120)}
 
 
+def _sections(spark, path):
+    words = ["theft", "cattle", "house", "night", "fraud", "court", "river", "poison", "robbery", "letter"]
+    rows = []
+    for k in range(400):  # 30 sections, of which the first has most of the rows
+        n = 0 if k % 20 and k < 300 else k % 30
+        body = " ".join(words[(n * j + j + n) % 10] for j in range(1, 4 + n % 7)) + " theft" * (n == 0) + " filler" * (k % 13)
+        rows.append((k, "BNS" if n % 2 else "BSA", n, f"{words[n % 10]} {words[(n + 3) % 10]} theft", body))
+    spark.createDataFrame(rows, "sec_id bigint, act string, section int, title string, text string").write.parquet(str(path / "sections.parquet"))
+    return rows
+
+
+def _brute(rows, k1=1.2, b=0.75):
+    """Query to [(-score, sec_id)] of all rows with a score, in order."""
+    bags = {x[0]: Counter(x[4].split()) for x in rows}
+    mean, n = sum(sum(c.values()) for c in bags.values()) / len(bags), len(bags)
+    df = Counter(t for c in bags.values() for t in c)
+    out = {}
+    for q in rows:
+        if q[0] % 20 == 0:
+            terms = set(q[3].split())
+            scores = [(-round(sum(math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * c[t] * (k1 + 1) / (c[t] + k1 * (1 - b + b * sum(c.values()) / mean)) for t in terms), 4), d) for d, c in bags.items()]
+            out[q[0]] = sorted(s for s in scores if s[0] < 0)
+    return out
+
+
+def test_copies_of_a_section_use_up_no_places(spark, tmp_path):
+    rows = _sections(spark, tmp_path)
+    key, want = {x[0]: (x[1], x[2]) for x in rows}, {}
+    for q, ranked in _brute(rows).items():
+        best = {}
+        for score, d in ranked:
+            best.setdefault(key[d], score)
+        for rank, (score, k) in enumerate(sorted((s, k) for k, s in best.items())[:20], 1):
+            want[q, rank] = (*k, -score)
+    got = {(x["query"], x["rank"]): (x.act, x.section, x.score) for x in QUERIES["collapse_sections"](spark, str(tmp_path)).collect()}
+    assert got == want
+
+
+@pytest.mark.parametrize("apart", [False, True])
+def test_fusion_is_that_of_the_whole_rankings(spark, tmp_path, apart):
+    if apart:  # 20 short rows lead one ranking and 20 long ones the other; the 50 between them are past 20 in both, and win
+        bodies = ["theft word"] * 20 + ["theft " * 4 + "word " * 56] * 20 + ["theft " * 2 + "word " * 18] * 50 + ["word " * 10] * 50
+        rows = [(k, "BNS", k, "theft", body) for k, body in enumerate(bodies)]
+        spark.createDataFrame(rows, "sec_id bigint, act string, section int, title string, text string").write.parquet(str(tmp_path / "sections.parquet"))
+    else:
+        rows = _sections(spark, tmp_path)
+    want, a, b = {}, _brute(rows), _brute(rows, 0.9, 0.4)
+    for q in a:
+        total = Counter()
+        for ranked in (a[q], b[q]):
+            for rank, (_, d) in enumerate(ranked, 1):
+                total[d] += 1 / (60 + rank)
+        for rank, (score, d) in enumerate(sorted((-round(s, 8), d) for d, s in total.items())[:5], 1):
+            want[q, rank] = (d, -score)
+    assert not apart or want[0, 1] == (40, round(2 / 81, 8))
+    assert {(x["query"], x["rank"]): (x.sec_id, x.score) for x in QUERIES["rank_fusion"](spark, str(tmp_path)).collect()} == want
+
+
+@pytest.mark.parametrize("block", [2, 100])
+def test_places_against_brute_force(spark, tmp_path, block):
+    rows = _sections(spark, tmp_path)
+    s = spark.read.parquet(str(tmp_path / "sections.parquet"))
+    docs = s.select("sec_id", r.tokens(F.col("text")).alias("toks"))
+    asked = s.where("sec_id in (0, 20, 100, 320)").select(F.col("sec_id").alias("query"), r.tokens(F.col("title")).alias("toks"))
+    wanted = asked.select("query").crossJoin(s.where("sec_id % 7 = 0").select("sec_id"))
+    want = {(q, d): rank for q, ranked in _brute(rows).items() if q in (0, 20, 100, 320) for rank, (_, d) in enumerate(ranked, 1) if d % 7 == 0}
+    assert {(x["query"], x.sec_id): x["rank"] for x in r.bm25_places(docs, asked, wanted, doc_id="sec_id", block=block).collect()} == want
+
+
 def test_fusion_collapse_and_rerank(spark):
     a = spark.createDataFrame([(1, 10, 9.0, 1), (1, 20, 8.0, 2)], "query bigint, doc_id bigint, score double, rank int")
     b = spark.createDataFrame([(1, 20, 9.0, 1), (1, 30, 8.0, 2)], "query bigint, doc_id bigint, score double, rank int")
