@@ -1,9 +1,9 @@
 """Repair of text read from printed pages.
 
 Page furniture is taken out line by line; what remains is a character stream without lines, in which words are found by a
-joint decoding: a lattice over the stream allows misrecognised characters, a hyphen or a line end inside a word, missing
-and spurious spaces, and takes the cheapest sequence of words of the corpus's own vocabulary. Paragraph boundaries are
-chosen by dynamic programming over the lines. The vocabulary is counted by Spark over all texts that were never wrapped;
+joint decoding: a lattice over a token, or the two halves of a word broken with a hyphen, allows misrecognised characters and
+missing spaces, and takes the cheapest sequence of words of the corpus's own vocabulary. Words broken by a spurious space
+are not joined. Paragraph boundaries are chosen by dynamic programming over the lines. The vocabulary is counted by Spark over all texts that were never wrapped;
 the repair itself is one narrow stage.
 """
 
