@@ -35,7 +35,7 @@ def averages(metrics: DataFrame, names: Sequence[str] = ("recall", "hit", "mrr",
     return metrics.agg(F.count(F.lit(1)).alias("n"), *[F.round(F.avg(m), 6).alias(m) for m in names])
 
 
-def bootstrap(values: DataFrame, value: str, key: str, resamples: int = 200, seed: int = 42) -> DataFrame:
+def bootstrap(values: DataFrame, value: str, key: str, resamples: int = 1000, seed: int = 42) -> DataFrame:
     """One row: n, mean, and the 2.5 and 97.5 percentiles of the mean over Poisson resamples.
 
     Each row draws, for each resample, how often it counts (a Poisson(1) number from a hash of key and resample), so rows are

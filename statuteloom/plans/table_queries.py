@@ -135,7 +135,7 @@ def ir_metrics(spark: SparkSession, d: str) -> DataFrame:
 
 
 def bootstrap_ci(spark: SparkSession, d: str) -> DataFrame:
-    return evaluation.bootstrap(read_table(spark, d, "documents").where("text is not null").select("doc_id", F.col("n_chars").cast("double").alias("n")), "n", "doc_id", 50)
+    return evaluation.bootstrap(read_table(spark, d, "documents").where("text is not null").select("doc_id", F.col("n_chars").cast("double").alias("n")), "n", "doc_id", 1000)
 
 
 def split_stratified(spark: SparkSession, d: str) -> DataFrame:

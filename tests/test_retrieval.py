@@ -1,3 +1,4 @@
+import hashlib
 import math
 from collections import Counter
 
@@ -181,6 +182,19 @@ def test_bootstrap_split_sample_gate(spark):
     assert {x.v for x in pairs.collect()} == {1.0}
 
 
+def test_bootstrap_ci_rests_on_1000_resamples(spark, tmp_path):
+    rows = [(k, "x", (k * 37) % 101) for k in range(60)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, n_chars bigint").write.parquet(str(tmp_path / "documents.parquet"))
+    cuts, means = (0.36787944, 0.73575888, 0.91969860, 0.98101184, 0.99634015, 0.99940582), []
+    for j in range(1, 1001):
+        times = [sum(int(hashlib.md5(f"42:{k}:{j}".encode()).hexdigest()[:8], 16) / 2**32 >= c for c in cuts) for k, _, _ in rows]
+        means.append(sum(n * t for (_, _, n), t in zip(rows, times)) / sum(times))
+    means.sort()
+    at = lambda p: means[int(999 * p)] + (999 * p % 1) * (means[int(999 * p) + 1] - means[int(999 * p)])
+    row = QUERIES["bootstrap_ci"](spark, str(tmp_path)).first()
+    assert (row.n, row.low, row.high) == (60, pytest.approx(at(0.025), abs=1e-5), pytest.approx(at(0.975), abs=1e-5))
+
+
 def test_citations_rates_latency_threshold(spark):
     answers = spark.createDataFrame([(1, "See BNS 103(1) and BSA 999. None here. BNS 103(2)!"), (2, None), (3, "")], "doc_id bigint, text string")
     corpus = spark.createDataFrame([("BNS", 103), ("BNS", 103)], "act string, section int")
