@@ -58,11 +58,18 @@ def paired_difference(a: DataFrame, b: DataFrame, value: str, key: str) -> DataF
 
 
 def stratified(df: DataFrame, by: Column, key: str, parts: int, seed: int = 42) -> DataFrame:
-    """df with `split`: `test` for every part-th row of each stratum in hashed order, else `dev`.
+    """df with `split`: `test` for the first of every `parts` rows of each stratum in hashed order, else `dev`.
 
-    Strata may hold a third of all rows: the threshold is one on the hash, so no stratum is sorted in one task.
+    Strata may hold a third of all rows: rows are numbered within buckets of the hash and the buckets of a stratum are offset
+    by their counts, so no stratum is sorted in one task. A stratum of n rows has exactly ceil(n / parts) test rows.
     """
-    return df.withColumn("stratum", by).withColumn("split", F.when(shared_hash(F.col("stratum"), F.col(key), seed=seed) % parts == 0, "test").otherwise("dev"))
+    hashed = df.withColumn("stratum", by).withColumn("_h", shared_hash(F.col("stratum"), F.col(key), seed=seed)).withColumn("_b", F.shiftright("_h", 20))
+    before = Window.partitionBy("stratum").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = hashed.groupBy("stratum", "_b").agg(F.count(F.lit(1)).alias("_n")).select(F.col("stratum").alias("_s"), F.col("_b").alias("_c"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
+    numbered = hashed.withColumn("_r", F.row_number().over(Window.partitionBy("stratum", "_b").orderBy("_h", key)))
+    ranked = numbered.join(offsets, F.col("stratum").eqNullSafe(F.col("_s")) & (F.col("_b") == F.col("_c")))
+    split = F.when((F.col("_o") + F.col("_r") - 1) % parts == 0, "test").otherwise("dev")
+    return ranked.withColumn("split", split).drop("_h", "_b", "_r", "_s", "_c", "_o")
 
 
 def hash_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:

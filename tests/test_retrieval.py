@@ -195,6 +195,16 @@ def test_bootstrap_ci_rests_on_1000_resamples(spark, tmp_path):
     assert (row.n, row.low, row.high) == (60, pytest.approx(at(0.025), abs=1e-5), pytest.approx(at(0.975), abs=1e-5))
 
 
+def test_every_stratum_has_its_exact_share(spark):
+    sizes = {"a": 3, "b": 1, "c": 501, None: 7}
+    df = spark.createDataFrame([(n, f"{s}{j}") for s, n in sizes.items() for j in range(n)], "size int, id string").withColumn("s", F.when(F.col("size") != 7, F.col("size")))
+    got = e.stratified(df, F.col("s"), "id", 5)
+    assert got.columns == ["size", "id", "s", "stratum", "split"] and got.count() == 512
+    assert {x["size"]: x.n for x in got.groupBy("size").agg(F.count_if(F.col("split") == "test").alias("n")).collect()} == {3: 1, 1: 1, 501: 101, 7: 2}
+    rows = [(hashlib.md5(f"42:501:c{j}".encode()).hexdigest()[:8], f"c{j}") for j in range(501)]
+    assert {x.id for x in got.where("size = 501 and split = 'test'").collect()} == {i for _, i in sorted(rows)[::5]}
+
+
 def test_citations_rates_latency_threshold(spark):
     answers = spark.createDataFrame([(1, "See BNS 103(1) and BSA 999. None here. BNS 103(2)!"), (2, None), (3, "")], "doc_id bigint, text string")
     corpus = spark.createDataFrame([("BNS", 103), ("BNS", 103)], "act string, section int")
