@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statuteloom.operators import bad_records, packed_values
-from statuteloom.session import read_table
+from statuteloom.session import read_table, short_list
 
 
 def _records(spark: SparkSession, d: str) -> DataFrame:
-    labels = [r[0] for r in read_table(spark, d, "status_ref").where("label is not null").select("label").distinct().limit(10_000).collect()]
+    labels = short_list(read_table(spark, d, "status_ref"), "label")
     return bad_records.parse_records(read_table(spark, d, "mapping_raw"), "raw_id", "raw_line", labels)
 
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import os
 import tempfile
+from typing import Any
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-__all__ = ["build_session", "keep", "read_table", "small_side", "stable_cut"]
+__all__ = ["build_session", "keep", "read_table", "short_list", "small_side", "stable_cut"]
 
 
 def build_session(app: str = "statuteloom", cores: int = 8, shuffle_partitions: int | None = None) -> SparkSession:
@@ -36,13 +37,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stable_cut(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint, so that lost executors cost one stage and not the whole job.
 
-    The folder is the cluster's spark.checkpoint.dir; only where that is unset (tests, one machine) is a
-    temporary one chosen.
+    The folder is the cluster's spark.checkpoint.dir; only where that is unset and all of Spark runs on this machine (tests)
+    is a temporary one chosen. A cluster without it is an error: a folder of one machine is none that the others can read.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-", dir=os.environ.get("TMPDIR", "/tmp")))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-", dir=os.environ.get("TMPDIR", "/tmp")))
     return df.checkpoint(eager=True)
 
 
@@ -51,6 +55,14 @@ def keep(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def short_list(df: DataFrame, column: str, most: int = 10_000) -> list[Any]:
+    """The distinct values of a column that is known to be short, NULL left out; an error if there are more than `most`."""
+    rows = df.where(F.col(column).isNotNull()).select(column).distinct().limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"{column} has more than {most} distinct values")
+    return sorted(r[0] for r in rows)
+
+
 def small_side(df: DataFrame, rows: int = 10_000) -> DataFrame:
     """df ready to be broadcast if it has at most `rows` rows (counted, not estimated), else df as it is for a shuffle join.
 

@@ -1,5 +1,9 @@
+import math
 import random
 
+import pyarrow as pa
+import pytest
+
 from statuteloom.operators import bad_records as b
 
 LABELS = ["Carried over", "Change", "Deleted", "New Section"]
@@ -47,3 +51,44 @@ def test_long_cell(spark):
     long = "x" * 300_000
     got = parse(spark, [f'1,"{long}",Change,1,t', f'1,"{long},Change,1,t'])
     assert got[0].bns_title == long and got[1].reason == "quoting"
+
+
+def test_bulk_parse_calls(monkeypatch):
+    """Blocks are parsed first and only failing ones are halved: about 2 b log2(n / b) calls for b bad records, one for none."""
+    rng, calls, size = random.Random(5), [], 4096
+    parse_block = b._Block.parse
+    monkeypatch.setattr(b._Block, "parse", lambda self, low, high: calls.append(high - low) or parse_block(self, low, high))
+    strict = []
+    diagnose = b.diagnose
+    monkeypatch.setattr(b, "diagnose", lambda line, statuses: strict.append(line) or diagnose(line, statuses))
+    statuses = frozenset({*b.NULL_MARKS, "change"})
+    for bad in (0, 1, 20):
+        lines = ['7(1),"Title, long",Change,302,Title'] * size
+        for k in rng.sample(range(size), bad):
+            lines[k] = rng.choice(["1,2,3", '1,"a"b,Change,2,t', '1,a"b,Change,2,t', '1,"a,Change,2,t'])
+        calls.clear(), strict.clear()
+        *_, reasons = b._cells_and_reasons(pa.array(lines), statuses, 1)
+        assert reasons.null_count == size - bad and len(strict) == bad and calls[0] == size
+        assert len(calls) <= 1 + 2 * bad * (math.log2(size / max(bad, 1)) + 2)
+
+
+@pytest.mark.parametrize("leaf", [1, 3, 500])
+def test_any_leaf(leaf):
+    rng = random.Random(leaf)
+    parts = ["1", '"', ",", "a", "\n", "\r", '""', "Change", " ", "é", "\u00a0", "(2)", "358", "359"]
+    lines = ["".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(800)] + ["358 (a),,,,", None, ',"x",CHANGE\u00a0 ,,""']
+    rng.shuffle(lines)
+    statuses = frozenset({*b.NULL_MARKS, "change"})
+    *cells, reasons = (c.to_pylist() for c in b._cells_and_reasons(pa.array(lines), statuses, leaf))
+    for k, line in enumerate(lines):
+        want, why = b.diagnose(line, statuses)
+        assert reasons[k] == why and [c[k] for c in cells] == (want or [None] * 5)
+
+
+def test_label_list_is_counted(spark):
+    from statuteloom.session import short_list
+
+    df = spark.createDataFrame([("b",), ("a",), (None,), ("a",)], "label string")
+    assert short_list(df, "label", 2) == ["a", "b"]
+    with pytest.raises(ValueError, match="more than 1"):
+        short_list(df, "label", 1)
