@@ -24,7 +24,7 @@ def p1_rows(spark: SparkSession, d: str) -> DataFrame:
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     sample, rows = read_table(spark, d, "mapping_sample"), read_table(spark, d, "map_row")
-    known = [r[0] for r in packed_values.dictionary((sample, "ipc_section"), (rows, "ipc")).collect()]  # at most 999 * 703 short stems
+    known = short_list(packed_values.dictionary((sample, "ipc_section"), (rows, "ipc")), "value", packed_values.MOST_VALUES)
     parts = [
         packed_values.split_packed(df, key, field, known).where("packed").select(F.lit(name).alias("tbl"), F.col(key).alias("row_id"), "pos", "ipc_ref")
         for df, key, field, name in ((sample, "row_id", "ipc_section", "mapping_sample"), (rows, "ordinal", "ipc", "map_row"))

@@ -33,5 +33,25 @@ def test_rows_arrays_nulls_and_long_fields(spark):
 
 
 def test_dictionary_of_arrays(spark):
-    df = spark.createDataFrame([(["498-a", "376 (2)", "299 & 300", None],)], "ipc array<string>")
-    assert sorted(r[0] for r in p.dictionary((df, "ipc")).collect()) == ["376", "498A"]
+    df = spark.createDataFrame([(["498-a", "376 (2)", "299 & 300", "0034", "007", "12 - B(1)( a, b )", None],)], "ipc array<string>")
+    assert sorted(r[0] for r in p.dictionary((df, "ipc")).collect()) == ["12B(1)(a,b)", "376(2)", "498A", "7"]
+
+
+@pytest.mark.parametrize(
+    ("field", "known", "with_it", "without"),
+    [
+        ("498 a, 34", ["498A"], ["498A", "34"], ["498", "34"]),  # a space inside a known value
+        ("302 - B; 34", ["302"], ["302", "34"], ["302B", "34"]),  # no such value, and no value with that letter
+        ("302 - B; 34", ["302", "34B"], ["302B", "34"], ["302B", "34"]),  # put together from known parts
+        ("120 b(1) (a, b)/9", ["120B(1)(a,b)"], ["120B(1)(a,b)", "9"], ["120", "1", "9"]),  # delimiters inside a known value
+        ("120 b and", ["120B"], ["120B"], ["120"]),
+        ("1120B 120Ba", ["120B"], [], []),  # part of a longer number or word
+    ],
+)
+def test_dictionary_decides(field, known, with_it, without):
+    assert p.cover(field, p.automaton(known)) == with_it
+    assert p.cover(field, p.automaton([])) == without
+
+
+def test_remark_after_far_number():
+    assert p.cover("302, 15" + " " * 40 + "copies", p.automaton(["302"])) == ["302"]
