@@ -9,8 +9,13 @@ COUNTS = {w: 1000 - k for k, w in enumerate(WORDS)} | {c: 500 for c in ("a",)}
 FIX = s.Repairer(COUNTS)
 
 
+#: Running headers as they recur in an edition, figures and the title of the chapter masked.
+HEADERS = ["# the code gazette [part ii", "part ii] the record #", "the code gazette, town extraordinary", "\ue000 #", "printed at the town press, register no. #/#", "town, monday july #, # no. #", "sec. #] \ue000 [bsa", "bnss — town edition — \ue000", "| the record, town |"]
+SETTING = s.Furniture(HEADERS, ["of attempts", "of abetment", "of public tranquillity"])
+
+
 def pieces(text, title=False):
-    return FIX.repair(text, title)
+    return FIX.repair(text, title, SETTING)
 
 
 @pytest.mark.parametrize(
@@ -38,6 +43,16 @@ def test_headers(line):
     assert found == [("header", line)] and text == "any person who takes property shall be fine."
 
 
+@pytest.mark.parametrize("line", ["12   THE C0DE GAZETTE   [PAPT II", "Of public tranqui11ity    17", "Pr!nted at the Tovvn Press, Register N0. 9/2O23", "BN5S — Town ed!tion — of abetment"])
+def test_misread_headers(line):
+    assert pieces(f"any person who takes\n{line}\nproperty shall be fine.")[1] == [("header", line)]
+
+
+def test_no_line_is_a_header_by_its_shape():
+    line = "12   THE OTHER GAZETTE   [PART II"
+    assert ("header", line) not in FIX.repair(f"any person who takes\n{line}\nproperty.")[1]
+
+
 @pytest.mark.parametrize("line", ["17", "[17]", "- 17 -", "— 17 —", "~ 9 ~", "•  109", "p. 12", "Page 3 of 208", "PAGE 105/218", "Page No. 98", "12/204", "(xliv)", "lxx", "1S4", "10B"])
 def test_page_numbers(line):
     text, found = pieces(f"any person who takes\n{line}\nproperty shall be fine.")
@@ -56,6 +71,36 @@ def test_numbers_look_alikes_and_titles():
     assert pieces("12", True) == ("12", [])
 
 
+@pytest.mark.parametrize(
+    ("text", "want", "found"),
+    [
+        ("the pro perty shall", "the property shall", [("spacing", "property")]),
+        ("the impri sonment forterm of years", "the imprisonment for term of years", [("spacing", "imprisonment")]),
+        ("shall be impris\nonment for term", "shall be imprisonment for term", [("hyphen", "imprisonment")]),
+        ("any per son, who", "any person, who", [("spacing", "person")]),
+        ("the magis tratc of", "the magistrate of", [("misread", "magistrate")]),
+        ("any Zorblax per son takes", "any Zorblax person takes", [("spacing", "person")]),
+        ("any per, son takes", "any per, son takes", []),
+    ],
+)
+def test_spaces_and_line_ends_are_symbols_of_the_stream(text, want, found):
+    assert pieces(text) == (want, found)
+
+
+def test_two_words_of_the_vocabulary_that_are_one():
+    counts = COUNTS | {"pro": 2, "vision": 2, "provision": 400, "this": 900, "may": 900, "be": 950, "maybe": 1}
+    fix = s.Repairer(counts)
+    assert fix.repair("the pro vision of fine") == ("the provision of fine", [("spacing", "provision")])
+    assert fix.repair("the provi sion ofthis office") == ("the provision of this office", [("spacing", "provision")])
+    assert fix.repair("any person may be fine") == ("any person may be fine", [])
+
+
+def test_dear_paths_are_not_dropped():
+    fix = s.Repairer(COUNTS)
+    run = "dishonestlypropertyimprisonmentmagistratecompensationmachineryexceptions"
+    assert " ".join(w[2] for w in fix.lattice.decode(run)[1]) == "dishonestly property imprisonment magistrate compensation machinery exceptions"
+
+
 def test_merged_and_split_words():
     assert FIX.lattice.decode("anyperson")[1][0][2] == "any" and [w[2] for w in FIX.lattice.decode("per son")[1]] == ["person"]
 
@@ -68,7 +113,11 @@ def test_paragraphs():
 def test_edges():
     assert pieces(None) == (None, []) and pieces("") == ("", []) and pieces(" \n ") == ("", [])
     long = "any person who takes property " * 20
-    assert pieces(long + "rupce5")[1] == []  # never set in lines
+    assert pieces(long + "rupce5")[1] == [("misread", "rupees")]
+    mixed = "any person who takes\nPage 12\npro-\nperty or scrvice.\n" + long + "\n| The Record, Town |\nany officer"
+    text, found = pieces(mixed)  # a long line does not keep the others from being repaired
+    assert found == [("header", "| The Record, Town |"), ("hyphen", "property"), ("misread", "service"), ("page_number", "Page 12")]
+    assert text.split("\n") == ["any person who takes property or service.", long.strip(), "any officer"]
     big = "\n".join(["any pcrson who takes"] * 20_000)
     assert pieces(big)[1] == [("misread", "person")]
 
@@ -94,12 +143,28 @@ def test_planted_noise_is_found_and_repaired():
 
 
 def test_rows(spark):
-    df = spark.createDataFrame([(1, "any person who shall be fine " * 5, "Any person"), (2, "any pcrson\nwho", None), (3, None, ""), (2, "any pcrson\nwho", None)], "sec_id bigint, text string, title string").selectExpr("*", "1 AS pieces", "2 AS field")
-    counts = s.collect_vocabulary(s.vocabulary(df, min_count=1))
+    df = spark.createDataFrame([(1, "any person who shall be fine " * 5, "Any person", "E1", None), (2, "any pcrson\nwho", None, "E1", None), (3, None, "", None, None), (2, "any pcrson\nwho", None, "E1", None)], "sec_id bigint, text string, title string, edition string, chapter_title string").selectExpr("*", "1 AS pieces", "2 AS field", "3 AS headers")
+    seen = s.observed(df)
+    counts = s.collect_vocabulary(s.vocabulary(seen))
     assert counts["person"] == 6
     rows = s.repair_sections(df, counts)
     assert rows.count() == 8 and sorted((r.sec_id, r.field, r.kind, r.piece) for r in s.noise(rows).collect()) == [(2, "text", "misread", "person")] * 2
-    assert s.repair_sections(df.limit(0), counts).count() == 0 and s.collect_vocabulary(s.vocabulary(df.limit(0))) == {}
+    assert s.repair_corpus(df).count() == 8
+    empty = df.limit(0)
+    assert s.repair_corpus(empty).count() == 0 and s.collect_vocabulary(s.vocabulary(s.observed(empty))) == {}
     assert s.repair_sections(df, {}).count() == 8
     with pytest.raises(ValueError, match="min_count"):
-        s.collect_vocabulary(s.vocabulary(df, min_count=1), max_words=2)
+        s.collect_vocabulary(s.vocabulary(seen), max_words=2)
+
+
+def test_headers_are_found_by_recurrence_within_an_edition(spark):
+    whole = "Any person who takes property shall be punished with imprisonment for a term of years. " * 3
+    page = "any person who takes property\n{n}   OFFICIAL RECORD   {c}\nshall be punished with\nimprisonment for a term of years"
+    rows = [(k, whole, None, e, "Of Fines") for k, e in enumerate(["A", "B", None])]
+    rows += [(10 + k, page.format(n=k, c="Of Fines"), None, "A", "Of Fines" if k else None) for k in range(4)]
+    rows += [(20 + k, page.format(n=k, c="Of Fines").replace("OFFICIAL", "OTHER"), None, "B", "Of Fines") for k in range(2)]
+    df = spark.createDataFrame(rows, "sec_id bigint, text string, title string, edition string, chapter_title string")
+    found = {r.edition: r.headers for r in s.running_headers(s.observed(df), df).collect()}
+    assert found["A"] == found["B"] == "# official record \ue000"  # it recurs in A and in the corpus; the other one recurs too rarely
+    pieces = {(r.sec_id, r.piece) for r in s.noise(s.repair_corpus(df)).where("kind = 'header'").collect()}
+    assert pieces == {(10 + k, f"{k}   OFFICIAL RECORD   Of Fines") for k in range(4)}
