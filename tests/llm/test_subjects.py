@@ -66,3 +66,32 @@ def test_empty_tables(spark):
     assert p.document_subjects(docs, lab, listed.limit(0)).count() == 0
     with pytest.raises(ValueError, match="subjects"):
         p.document_subjects(docs, lab, spark.range(300).select(F.col("id").cast("string").alias("subject")))
+
+
+def test_links_are_verified_stars(spark):
+    rng = random.Random(2)
+    words = [f"w{k}" for k in range(12)]
+    texts = sorted({" ".join(rng.sample(words, 7)) for _ in range(150)}) + ["one two three", "one two three four", "lone", "!"]
+    df = spark.createDataFrame([(k, 1, t) for k, t in enumerate(texts)], "sid bigint, n bigint, sentence string")
+    got = {(r.sid, r.hub): r.j for r in p.links(p.signatures(df, bands=8, rows=2), 0.4).collect()}
+    sets = [set(t.split()) for t in texts]
+    for (a, b), j in got.items():
+        exact = len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+        assert exact >= 0.4 and abs(exact - j) < 1e-6
+    hubs = {b for _, b in got}
+    assert all((h, h) in got for h in hubs) and len(got) <= 8 * len(texts) + len(hubs)
+    assert sum(any(a == k for a, _ in got) for k in range(150)) > 140 and not any(a == len(texts) - 2 for a, _ in got)
+    assert p.links(p.signatures(df.limit(0)), 0.4).count() == 0
+
+
+def test_links_carry_labels_to_unseen_sentences(spark):
+    """Of sentences that no labelled document holds, only similar ones tell the subject."""
+    docs = [(k, f"The captain bowled the ball past the keeper of team {chr(97 + k % 20)}{chr(97 + k // 20)}. ") for k in range(60)]
+    docs += [(100 + k, f"The bank credited the loan to the ledger of client {chr(97 + k % 20)}{chr(97 + k // 20)}. ") for k in range(60)]
+    labels = [(k, "sport", "a") for k in range(0, 20)] + [(100 + k, "finance", "a") for k in range(0, 20)]
+    df, lab = spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(labels, "doc_id bigint, subject string, annotator string")
+    listed = spark.createDataFrame([("sport",), ("finance",)], "subject string")
+    found = {(r.doc_id, r.subject) for r in p.document_subjects(df, lab, listed).collect()}
+    assert found == {(k, "sport") for k in range(60)} | {(100 + k, "finance") for k in range(60)}
+    alone = p.document_subjects(df, lab, listed, linked=False).count()
+    assert alone < 20
