@@ -56,6 +56,8 @@ SYNONYMS: dict[str, tuple[str, ...]] = {
 _BEFORE = re.compile(r"^(?:status|marked as|marked|prob|probably|shown as|now)\b[\s:.]*")
 _AFTER = re.compile(r"\s*(?:[-/,;]?\s*\b(?:verified|checked|confirmed)|\(?\bsee (?:note|remarks)\b[^)]*\)?|\bvide\b.*|\bw\.?\s?e\.?\s?f\b.*)$")
 MAX_EDITS = 2
+#: Terms of more characters are found by their parts instead of their deletes.
+LONG = 60
 
 
 def collapsed(value: str) -> str:
@@ -127,25 +129,45 @@ def distance(a: str, b: str, most: int) -> float | None:
 
 
 class Dictionary:
-    """Symmetric-delete index over the terms of a reference list."""
+    """Symmetric-delete index over the terms of a reference list.
+
+    Terms of more than LONG characters have too many deletes. They are filed under three equal parts instead, of which two edits
+    leave at least one whole. Neither terms nor values are bounded in length.
+    """
 
     def __init__(self, terms: Mapping[str, str], frequency: Mapping[str, int]) -> None:
         self.terms, self.frequency, self.index = dict(terms), dict(frequency), {}
+        self.parts: dict[str, list[str]] = {}
+        self.longest = max((len(t) for t in self.terms if len(t) <= LONG), default=0)
         for term in self.terms:
+            if len(term) > LONG:
+                third = len(term) // (MAX_EDITS + 1)
+                for k in range(MAX_EDITS + 1):
+                    self.parts.setdefault(term[k * third : (k + 1) * third], []).append(term)
+                continue
             for left in deletes(term, bound(len(term))):
                 self.index.setdefault(left, []).append(term)
+        self.sizes = sorted({len(p) for p in self.parts})
+
+    def near(self, form: str) -> set[str]:
+        """Terms that may be within the edit bound of a form."""
+        found: set[str] = set()
+        if len(form) <= self.longest + MAX_EDITS:  # a longer one is too far from all of them
+            found |= {term for left in deletes(form, MAX_EDITS if len(form) > 4 else 1) for term in self.index.get(left, ())}
+        for size in self.sizes:
+            found |= {term for k in range(len(form) - size + 1) for term in self.parts.get(form[k : k + size], ()) if abs(len(term) - len(form)) <= MAX_EDITS}
+        return found
 
     def lookup(self, form: str) -> tuple[float, int, str, str] | None:
         """(distance, -frequency, term, code) of the best term, or None."""
         if form in self.terms:
             return 0.0, -self.frequency.get(form, 0), form, self.terms[form]
-        near = {term for left in deletes(form, MAX_EDITS if len(form) > 4 else 1) for term in self.index.get(left, ())}
-        found = [(d, -self.frequency.get(t, 0), t, self.terms[t]) for t in near if (d := distance(form, t, bound(len(t)))) is not None]
+        found = [(d, -self.frequency.get(t, 0), t, self.terms[t]) for t in self.near(form) if (d := distance(form, t, bound(len(t)))) is not None]
         return min(found, default=None)
 
     def meant(self, value: str) -> str:
         """Code of the entry meant, or `unmatched`."""
-        hits = [(hit[0], n, hit[1:]) for n, form in enumerate(readings(value)) if len(form) <= 60 and (hit := self.lookup(form))]
+        hits = [(hit[0], n, hit[1:]) for n, form in enumerate(readings(value)) if (hit := self.lookup(form))]
         return min(hits)[2][-1] if hits else "unmatched"
 
 
@@ -179,8 +201,8 @@ def map_to_list(df: DataFrame, id_col: str, column: str, reference: DataFrame, c
     """(id, value, code) of every row whose value is free-entered; code is `unmatched` where no entry is meant.
 
     The reference list is checked to hold at most max_entries rows before it is broadcast; a longer one is refused, since
-    this operator is for short canonical lists. NULL values, null marks and exact labels give no row; repeated rows stay;
-    values over 60 characters are only matched after their remarks are cut off.
+    this operator is for short canonical lists. NULL values, null marks and exact labels give no row; repeated rows stay.
+    Values of any length are looked up.
     """
     head = reference.select(code_col, label_col).where(F.col(code_col).isNotNull() & F.col(label_col).isNotNull()).limit(max_entries + 1).collect()
     if len(head) > max_entries:

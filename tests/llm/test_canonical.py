@@ -86,3 +86,13 @@ def test_rows(spark):
     assert {r.code for r in c.map_to_list(df, "row_id", "status", ref.limit(0)).collect()} == {"unmatched"}
     with pytest.raises(ValueError, match="entries"):
         c.map_to_list(df, "row_id", "status", ref, max_entries=2)
+
+
+def test_long_labels_and_values():
+    label = "the provision has been carried over into the new code without any change of wording or number"
+    index = c.Dictionary(c.terms_of({"long": label, "x": "renumbered"}, {}), {})
+    assert len(label) > 90 and index.meant(label.upper()) == "long" == index.meant("  " + label.replace("without", "witout") + "!")
+    for k in range(0, len(label), 7):
+        assert index.meant(label[:k] + "q" + label[k:]) == "long"
+        assert index.meant(label[:k] + label[k + 2 :]) in ("long", "unmatched") and index.lookup(c.key(label[:k] + label[k + 1 :]))
+    assert index.meant("x" * 5_000) == "unmatched" and index.meant(label + " and more") == "unmatched"
