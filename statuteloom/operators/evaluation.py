@@ -160,9 +160,16 @@ def dangling(rows: DataFrame, corpus: DataFrame, on: Sequence[str]) -> DataFrame
 
 
 def fingerprint(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(n, digest): number of rows and a digest of their contents that does not depend on order or partitioning."""
-    row = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in columns])
-    return df.agg(F.count(F.lit(1)).alias("n"), F.hex(F.bit_xor(row)).alias("digest"))
+    """(n, digest): number of rows and a digest of their contents that does not depend on order or partitioning.
+
+    The digest is made of sums of parts of one SHA-256 a row, so repeated rows count each time.
+    """
+    text = F.concat_ws("\u001f", *[F.coalesce(F.concat(F.lit("v"), F.col(c).cast("string")), F.lit("n")) for c in columns])
+    digest = F.sha2(text, 256)
+    # four numbers of 30 bits: their sums stay exact for 2^33 rows
+    parts = [F.sum(F.conv(F.substring(digest, 1 + 8 * k, 8), 16, 10).cast("bigint") % (1 << 30)).alias(f"_{k}") for k in range(4)]
+    sums = df.agg(F.count(F.lit(1)).alias("n"), *parts)
+    return sums.select("n", F.concat(*[F.lpad(F.lower(F.hex(F.coalesce(f"_{k}", F.lit(0)) % (1 << 32))), 8, "0") for k in range(4)]).alias("digest"))
 
 
 def ablations(results: DataFrame, config: str = "config", measures: Sequence[str] = ("recall", "mrr", "ndcg")) -> DataFrame:

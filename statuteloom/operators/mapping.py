@@ -57,16 +57,18 @@ def lookup(rows: DataFrame, queries: DataFrame, query: str = "query", notes: Dat
     """(query, key, found, matches, message) of each distinct query.
 
     A query is canonicalised and looked up as it stands, else by its base; matches are the rows with a new-code section, in
-    table order. Queries without a row are kept, with a message that tells deleted from unknown. Both index and queries
-    are partitioned by key; a query's matches are gathered per query, which holds one section's rows.
+    table order, equal ones once (with their first ordinal and their number `times`). Queries without a row are kept, with a
+    message that tells deleted from unknown. Rows are made distinct, with partial counts, before anything is gathered, so a
+    query's array holds distinct provisions and does not grow with repeated rows.
     """
     asked = queries.select(F.col(query).alias("query")).where(F.col(query).isNotNull()).distinct().withColumn("key", canonical_query(F.col("query")))
     tries = asked.select("query", "key", F.posexplode(F.array_distinct(F.array("key", base_ref(F.col("key"))))).alias("rank", "try"))
-    index = keyed(rows).select(F.col("key").alias("_key"), "ordinal", *MAP_FIELDS[:-1])
-    hits = tries.join(index, F.col("try") == F.col("_key"))
-    best = hits.groupBy("query").agg(F.min("rank").alias("rank"))  # exact if there is any, else the base
-    match = F.struct("ordinal", "bns", "bns_section", "bns_title", "status", "ipc_title", "ipc_offence", "ipc_punishment")
-    per = hits.join(best, ["query", "rank"]).groupBy("query").agg(F.array_sort(F.collect_list(F.when(F.col("bns").isNotNull(), match))).alias("matches"), F.count(F.lit(1)).alias("rows"))
+    fields = ("bns", "bns_section", "bns_title", "status", "ipc_title", "ipc_offence", "ipc_punishment")
+    index = keyed(rows).groupBy(F.col("key").alias("_key"), *fields).agg(F.min("ordinal").alias("ordinal"), F.count(F.lit(1)).alias("times"))
+    match = F.when(F.col("bns").isNotNull(), F.struct("ordinal", *fields, "times"))
+    whole = index.groupBy("_key").agg(F.array_sort(F.collect_list(match)).alias("matches"), F.sum("times").alias("rows"))
+    hits = tries.join(whole, F.col("try") == F.col("_key"))
+    per = hits.groupBy("query").agg(F.min_by(F.struct("matches", "rows"), "rank").alias("m")).select("query", "m.*")  # exact if there is any, else the base
     out = asked.join(per, "query", "left")
     if notes is None:
         out = out.withColumn("note", F.lit(None).cast("string"))
@@ -75,14 +77,14 @@ def lookup(rows: DataFrame, queries: DataFrame, query: str = "query", notes: Dat
         out = out.join(few.toDF("_n1", "note1"), F.col("key") == F.col("_n1"), "left").join(few.toDF("_n2", "note2"), base_ref(F.col("key")) == F.col("_n2"), "left")
         out = out.withColumn("note", F.coalesce("note1", "note2"))
     found = F.coalesce(F.size("matches") > 0, F.lit(False))
-    listed = F.array_join(F.transform("matches", lambda m: F.concat(F.lit("BNS "), m["bns"])), ", ")
+    listed = F.array_join(F.array_distinct(F.transform("matches", lambda m: F.concat(F.lit("BNS "), m["bns"]))), ", ")
     told = (
-        F.when(found, F.format_string("IPC %s corresponds to %s.", "key", listed))
-        .when(F.col("rows") > 0, F.format_string("IPC %s: no direct equivalent in BNS (marked deleted in the correspondence table).", "key"))
-        .otherwise(F.format_string("IPC %s not found in the correspondence table.", "key"))
+        F.when(found, F.format_string("Old section %s is now %s.", "key", listed))
+        .when(F.col("rows") > 0, F.format_string("Old section %s was deleted; no new section takes its place.", "key"))
+        .otherwise(F.format_string("Old section %s was not found.", "key"))
     )
     message = F.when(F.col("rows") > 0, F.concat(told, F.coalesce(F.concat(F.lit(" Note: "), "note"), F.lit("")))).otherwise(told)
-    return out.select("query", "key", found.alias("found"), F.coalesce("matches", F.array().cast("array<struct<ordinal:bigint,bns:string,bns_section:int,bns_title:string,status:string,ipc_title:string,ipc_offence:string,ipc_punishment:string>>")).alias("matches"), "note", message.alias("message"))
+    return out.select("query", "key", found.alias("found"), F.coalesce("matches", F.array().cast("array<struct<ordinal:bigint,bns:string,bns_section:int,bns_title:string,status:string,ipc_title:string,ipc_offence:string,ipc_punishment:string,times:bigint>>")).alias("matches"), "note", message.alias("message"))
 
 
 def reverse_index(rows: DataFrame) -> DataFrame:
@@ -135,10 +137,13 @@ def agreement(judged: DataFrame) -> DataFrame:
 def patch(rows: DataFrame, match: Sequence[str], patches: DataFrame, set_fields: Sequence[str], additions: DataFrame | None = None) -> DataFrame:
     """rows with each patch applied to the one row that equals it in the match fields (NULL equals NULL); additions appended.
 
-    A patch that meets no row, or more than one, is an error. NULL in a set field leaves the value as it is.
+    A patch that meets no row, or more than one, is an error, and so are two patches of one row. NULL in a set field leaves the value as it is.
     """
-    new = patches.select(*(F.col(m).alias(f"_m_{m}") for m in match), *(F.col(s).alias(f"_s_{s}") for s in set_fields)).withColumn("_id", F.monotonically_increasing_id())
-    new = small_side(new)
+    new = patches.select(*(F.col(m).alias(f"_m_{m}") for m in match), *(F.col(s).alias(f"_s_{s}") for s in set_fields))
+    # a patch is known by what it matches, the same in every action
+    new = small_side(new.withColumn("_id", F.xxhash64(*[F.coalesce(F.col(f"_m_{m}").cast("string"), F.lit("\u0000")) for m in match])))
+    if new.count() != new.select("_id").distinct().count():
+        raise ValueError("several patches of the same row")
     on = F.lit(True)
     for m in match:
         on = on & F.col(m).eqNullSafe(F.col(f"_m_{m}"))

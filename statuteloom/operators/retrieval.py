@@ -20,6 +20,7 @@ from statuteloom.session import stable_cut
 #: Words that carry no meaning for search.
 STOP_WORDS = ("a", "an", "and", "any", "are", "as", "at", "be", "by", "for", "from", "has", "he", "in", "is", "it", "of", "on", "or", "shall", "such", "that", "the", "this", "to", "was", "who", "with")
 BLOCK = 2_000
+_ITSELF = -2.0  # below every cosine
 
 
 def tokens(text: Column) -> Column:
@@ -193,11 +194,11 @@ def bm25_places(docs: DataFrame, queries: DataFrame, wanted: DataFrame, k1: floa
     return reduce(DataFrame.unionAll, results) if results else docs.sparkSession.createDataFrame([], f"query {qkind}, `{doc_id}` {kind}, rank int")
 
 
-def _keep(best: pd.DataFrame, ids: np.ndarray, scores: np.ndarray, names: Sequence, k: int) -> pd.DataFrame:
-    """best with the top k of a batch per query; ties at the edge are all taken along and cut by id."""
+def _keep(best: pd.DataFrame, ids: np.ndarray, scores: np.ndarray, names: Sequence, k: int, above: float = 0.0) -> pd.DataFrame:
+    """best with the top k of a batch per query, of scores over `above`; ties at the edge are all taken along and cut by id."""
     take = min(k, len(ids))
     edge = np.partition(scores, len(ids) - take, axis=0)[len(ids) - take]
-    i, j = np.nonzero((scores >= edge) & (scores > 0))
+    i, j = np.nonzero((scores >= edge) & (scores > above))
     fresh = pd.DataFrame({"query": np.asarray(names, dtype=object)[j], "id": ids[i], "score": scores[i, j]})
     return _best(fresh if best.empty else pd.concat([best, fresh]), k, "id") if len(fresh) else best
 
@@ -230,7 +231,7 @@ def _finish(results: list[DataFrame], docs: DataFrame, doc_id: str, kind: str, q
 
 
 def dense(vectors: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding", query_id: str = "query", block: int = BLOCK, places: int = 4, without_self: bool = False) -> DataFrame:
-    """(query, vec_id, score, rank): the k nearest vectors of each query vector by cosine, exactly.
+    """(query, vec_id, score, rank): the k nearest vectors of each query vector by cosine, exactly, whatever its sign.
 
     NULL, empty and zero vectors take no part; vectors of another length than the block's queries score nothing. Ties in the
     rounded score go to the lower id.
@@ -244,7 +245,7 @@ def dense(vectors: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec
             names, matrix = shared.value
             best = pd.DataFrame({"query": [], "id": [], "score": []})
             for ids, scores in _cosines(batches, names, matrix, places, without_self):
-                best = _keep(best, ids, scores, names, k)
+                best = _keep(best, ids, scores, names, k, above=_ITSELF)
             if len(best):
                 yield best
 
@@ -269,13 +270,13 @@ def _cosine_blocks(vectors: DataFrame, queries: DataFrame, vec_id: str, vector:
 def _cosines(batches: Iterator[pd.DataFrame], names: Sequence, matrix: np.ndarray, places: int, without_self: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(ids, rounded scores of all queries) of up to 1,024 vectors at a time."""
     for batch in batches:
-        batch = batch[[len(v) == matrix.shape[0] for v in batch["v"]]]
+        batch = batch[np.array([len(v) == matrix.shape[0] for v in batch["v"]], dtype=bool)]
         for start in range(0, len(batch), 1024):
             part = batch.iloc[start : start + 1024]
             v = np.stack(part["v"].to_numpy())
             scores = np.round((v / np.linalg.norm(v, axis=1, keepdims=True)) @ matrix, places)
             if without_self:
-                scores[part["id"].to_numpy()[:, None] == np.asarray(names)[None, :]] = -2
+                scores[part["id"].to_numpy()[:, None] == np.asarray(names)[None, :]] = _ITSELF
             yield part["id"].to_numpy(), scores
 
 

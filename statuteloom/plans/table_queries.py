@@ -15,6 +15,8 @@ from statuteloom.session import read_table
 from statuteloom.sources import readers, writers
 from statuteloom.streaming import incremental
 
+#: The cosine from which on a vector counts as leaked into a query set.
+CLOSE = 0.9
 _ENTRY = ("bns", "bns_section", "ipc", "bns_title", "ipc_title", "status", "ipc_offence", "ipc_punishment")
 
 
@@ -31,7 +33,8 @@ def map_load(spark: SparkSession, d: str) -> DataFrame:
 def map_lookup(spark: SparkSession, d: str) -> DataFrame:
     asked = read_table(spark, d, "ipc_details").select(F.col("section").alias("query"))
     out = mapping.lookup(read_table(spark, d, "map_row"), asked)
-    return out.select("query", "key", "found", F.size("matches").alias("n"), F.try_element_at("matches", F.lit(1))["bns"].alias("first"))
+    n = F.aggregate("matches", F.lit(0).cast("bigint"), lambda a, m: a + m["times"]).cast("int")
+    return out.select("query", "key", "found", n.alias("n"), F.try_element_at("matches", F.lit(1))["bns"].alias("first"))
 
 
 def reverse_index(spark: SparkSession, d: str) -> DataFrame:
@@ -146,7 +149,7 @@ def split_stratified(spark: SparkSession, d: str) -> DataFrame:
 def leakage_guard(spark: SparkSession, d: str) -> DataFrame:
     """All vectors that are too close to a query vector other than themselves."""
     v = read_table(spark, d, "embeddings")
-    return retrieval.close(v, v.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query"), 0.9)
+    return retrieval.close(v, v.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query"), CLOSE)
 
 
 def citation_validate(spark: SparkSession, d: str) -> DataFrame:
@@ -224,7 +227,7 @@ def _cosine(k: int, others: bool) -> str:
     return f"""
     near AS (SELECT a.vec_id AS query, b.vec_id, round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 4) AS score
         FROM embeddings a JOIN embeddings b ON a.vec_id % 20 = 0 {"AND a.vec_id <> b.vec_id" if others else ""}),
-    ranked AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS INT) AS rank FROM near WHERE score > 0) WHERE rank <= {k})"""
+    ranked AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS INT) AS rank FROM near) WHERE rank <= {k})"""
 
 
 _DETAILS = f"""(SELECT upper(regexp_replace(trim(section), '(?i)^ipc_?', '')) AS key, min(struct_pack(o := coalesce({cell("offense")}, chr(1)), p := coalesce({cell("punishment")}, chr(1)))) AS d FROM ipc_details GROUP BY 1)"""
@@ -263,11 +266,11 @@ ORACLES = {
         length(regexp_replace(title, '[\s\p{Z}]', '', 'g')) AS inked FROM sections WHERE title IS NOT NULL""",
     "bm25_topk": f"WITH {_bm25(5)} SELECT * FROM ranked",
     "dense_topk": f"WITH {_cosine(5, False)} SELECT * FROM ranked",
-    "rank_fusion": f"""WITH {_bm25(20, "a")}, {_bm25(20, "b", 0.9, 0.4)},
+    "rank_fusion": f"""WITH {_bm25(1_000_000_000, "a")}, {_bm25(1_000_000_000, "b", 0.9, 0.4)},
         f AS (SELECT query, sec_id, round(sum(1.0 / (60 + rank)), 8) AS score FROM (SELECT * FROM a UNION ALL SELECT * FROM b) GROUP BY query, sec_id)
         SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, sec_id) AS INT) AS rank FROM f) WHERE rank <= 5""",
-    "collapse_sections": f"""WITH {_bm25(20)} SELECT query, act, section, max(score) AS score, CAST(row_number() OVER (PARTITION BY query ORDER BY max(score) DESC, act, section) AS INT) AS rank
-        FROM ranked JOIN sections USING (sec_id) GROUP BY query, act, section""",
+    "collapse_sections": f"""WITH {_bm25(1)}, best AS (SELECT query, act, section, max(score) AS score FROM sc_ranked JOIN sections USING (sec_id) WHERE score > 0 GROUP BY query, act, section)
+        SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, act, section) AS INT) AS rank FROM best) WHERE rank <= 20""",
     "ir_metrics": f"""WITH {_cosine(10, True)},
         gold AS (SELECT a.vec_id AS query, b.vec_id FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0),
         n AS (SELECT query, count(*) AS n FROM gold GROUP BY query),
@@ -276,7 +279,7 @@ ORACLES = {
                round(coalesce(gain, 0) / list_sum(list_transform(range(1, least(n, 10) + 1), lambda r: 1.0 / log2(r + 1))), 6) AS ndcg FROM n LEFT JOIN h USING (query)""",
     "bootstrap_ci": f"""
         WITH v AS (SELECT doc_id, CAST(n_chars AS DOUBLE) AS v FROM documents WHERE text IS NOT NULL AND n_chars IS NOT NULL),
-        r AS (SELECT r, v, {_HASH.format("concat('42:', doc_id, ':', r)")} / 4294967296.0 AS u FROM v, range(1, 51) t(r)),
+        r AS (SELECT r, v, {_HASH.format("concat('42:', doc_id, ':', r)")} / 4294967296.0 AS u FROM v, range(1, 1001) t(r)),
         t AS (SELECT r, v, (u >= 0.36787944)::INT + (u >= 0.73575888)::INT + (u >= 0.91969860)::INT + (u >= 0.98101184)::INT + (u >= 0.99634015)::INT + (u >= 0.99940582)::INT AS k FROM r),
         m AS (SELECT r, sum(v * k) / sum(k) AS m FROM t GROUP BY r)
         SELECT (SELECT count(*) FROM v) AS n, round((SELECT avg(v) FROM v), 6) AS mean, round(quantile_cont(m, 0.025), 6) AS low, round(quantile_cont(m, 0.975), 6) AS high FROM m""",
@@ -284,9 +287,10 @@ ORACLES = {
         WITH s AS (SELECT source, list_filter(string_split(regexp_replace(text, '([.?!])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: regexp_matches(x, '\S')) AS p FROM documents),
         c AS (SELECT source, CASE WHEN len(p) > 0 THEN len(list_filter(p, lambda x: regexp_matches(x, '\b(BNSS|BNS|BSA)\s+([0-9]{1,3})'))) / CAST(len(p) AS DOUBLE) END AS share FROM s)
         SELECT source, count(share) AS n, count(*) FILTER (share > 0) AS citing, count(*) FILTER (share >= 0.8) AS well_cited FROM c GROUP BY source""",
-    "split_stratified": f"""SELECT stratum, split, count(*) AS n, min(doc_id) AS first FROM (SELECT coalesce(source, 'none') AS stratum, doc_id,
-        CASE WHEN {_HASH.format("concat_ws(':', '42', coalesce(source, 'none'), doc_id)")} % 5 = 0 THEN 'test' ELSE 'dev' END AS split FROM documents) GROUP BY ALL""",
-    "leakage_guard": f"WITH {_cosine(50, True)} SELECT vec_id, count(*) AS queries, max(score) AS closest FROM ranked WHERE score >= 0.9 GROUP BY vec_id",
+    "split_stratified": f"""SELECT stratum, split, count(*) AS n, min(doc_id) AS first FROM (SELECT stratum, doc_id,
+        CASE WHEN (row_number() OVER (PARTITION BY stratum ORDER BY {_HASH.format("concat_ws(':', '42', stratum, doc_id)")}, doc_id) - 1) % 5 = 0 THEN 'test' ELSE 'dev' END AS split
+        FROM (SELECT coalesce(source, 'none') AS stratum, doc_id FROM documents)) GROUP BY ALL""",
+    "leakage_guard": f"WITH {_cosine(1, True)} SELECT vec_id, count(*) AS queries, max(score) AS closest FROM near WHERE score >= {CLOSE} GROUP BY vec_id",
     "citation_validate": r"""
         WITH c AS (SELECT DISTINCT doc_id, regexp_extract(x, '(BNSS|BNS|BSA)', 1) AS act, CAST(regexp_extract(x, '\s([0-9]{1,3})', 1) AS INT) AS section
             FROM (SELECT doc_id, unnest(regexp_extract_all(text, '\b(?:BNSS|BNS|BSA)\s+[0-9]{1,3}(?:\([0-9a-z]+\))*')) AS x FROM documents)),

@@ -31,10 +31,10 @@ def test_lookup(spark, rows):
     asked = spark.createDataFrame([("IPC 302",), ("s. 376(2)",), ("376(9)",), ("377",), ("999",), ("124A",), (None,), ("302",)], "query string")
     got = {r.query: r for r in m.lookup(rows, asked, notes=notes).collect()}
     assert len(got) == 7
-    assert [x.bns for x in got["IPC 302"].matches] == ["103(1)"] and got["IPC 302"].message == "IPC 302 corresponds to BNS 103(1)."
+    assert [x.bns for x in got["IPC 302"].matches] == ["103(1)"] and got["IPC 302"].message == "Old section 302 is now BNS 103(1)."
     assert [x.bns for x in got["s. 376(2)"].matches] == ["64(2)"]
-    assert [x.bns for x in got["376(9)"].matches] == ["64(2)", "64(2)"]  # under the base once for each reference
-    assert not got["377"].found and "no direct equivalent in BNS" in got["377"].message and got["377"].message.endswith("Note: see note")
+    assert [(x.bns, x.times) for x in got["376(9)"].matches] == [("64(2)", 2)]  # under the base once for each reference, gathered once
+    assert not got["377"].found and "was deleted" in got["377"].message and got["377"].message.endswith("Note: see note")
     assert not got["999"].found and "not found" in got["999"].message and got["999"].matches == []
     assert got["124A"].note == "closest provision"
 
@@ -66,6 +66,14 @@ def test_patches_meet_exactly_one_row(spark, rows):
     for bad in ("1", None):
         with pytest.raises(ValueError, match="exactly one"):
             m.patch(rows, ["bns"], spark.createDataFrame([(bad, "x")], "bns string, bns_title string"), ["bns_title"])
+    with pytest.raises(ValueError, match="several"):
+        m.patch(rows, ["bns"], good.union(good), ["bns_title"])
+
+
+def test_lookup_gathers_distinct_rows(spark, rows):
+    many = rows.where("ordinal = 1").withColumn("ordinal", F.explode(F.sequence(F.lit(50), F.lit(649)))).unionByName(rows)
+    got = m.lookup(many, spark.createDataFrame([("302",)], "query string")).first()
+    assert [(x.bns, x.ordinal, x.times) for x in got.matches] == [("103(1)", 1, 601)]
 
 
 def test_first_per_key(spark):

@@ -15,6 +15,14 @@ def test_tokens(spark):
     assert got == ["punishment", "under", "106(2)", "section", "498a", "theft"]
 
 
+def test_dense_ranks_cosines_of_any_sign(spark):
+    v = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [-1.0, 0.0])], "vec_id int, embedding array<double>")
+    got = r.dense(v, v.where("vec_id = 1").withColumnRenamed("vec_id", "query"), 3).orderBy("rank").collect()
+    assert [(x.vec_id, x.score) for x in got] == [(1, 1.0), (2, 0.0), (3, -1.0)]
+    others = r.dense(v, v.where("vec_id = 1").withColumnRenamed("vec_id", "query"), 3, without_self=True)
+    assert sorted(x.vec_id for x in others.collect()) == [2, 3]
+
+
 @pytest.mark.parametrize("block", [1, 100])
 def test_bm25_against_brute_force(spark, block):
     texts = ["theft of a cow", "theft theft", "murder most foul", "cow", None, "", "theft of a cow"]
@@ -231,6 +239,8 @@ def test_dangling_fingerprint_ablations(spark):
     assert [tuple(x) for x in e.dangling(rows, corpus, ["act", "section"]).collect()] == [("BNS", 9)]
     a = e.fingerprint(rows, ["act", "section"]).first()
     assert a == e.fingerprint(rows.repartition(3), ["act", "section"]).first() and a != e.fingerprint(rows.limit(3), ["act", "section"]).first()
+    digest = lambda *values: e.fingerprint(spark.createDataFrame([(v,) for v in values], "v string"), ["v"]).first()
+    assert digest("x", "x") != digest("y", "y") and digest("x", "x") != digest("x") and digest(None) != digest("n") and digest("x", "y") == digest("y", "x")
     results = spark.createDataFrame([("bm25", "dev", 0.5, 0.4, 0.3), ("bm25", "test", 0.6, 0.5, 0.4), ("rrf", "dev", 0.7, 0.6, 0.5)], "config string, split string, recall double, mrr double, ndcg double")
     got = {x.config: x for x in e.ablations(results).collect()}
     assert got["bm25"]["test_recall"] == 0.6 and got["rrf"]["test_recall"] is None

@@ -67,7 +67,11 @@ def test_patching(spark):
     got = {r.sec_id: r for r in patching.patch_sections(s, p).collect()}
     assert not got[1].in_force and [x.in_force for x in got[1].subsections] == [True, False]
     assert (got[2].title, got[2].in_force, [x.number for x in got[2].subsections]) == ("V", True, ["1", "2"])
-    for bad in ((9, None, "title", "x"), (1, "7", "in_force", "true"), (1, None, "page", "3")):
+    twice = spark.createDataFrame([(2, "zzz first", 1), (2, "aaa second", 2)], "sec_id bigint, value string, o int").selectExpr("sec_id", "NULL AS subsection", "'title' AS field", "value", "o")
+    assert {r.title for r in patching.patch_sections(s, twice, order="o").collect()} == {"T", "aaa second"}
+    with pytest.raises(ValueError, match="order"):
+        patching.patch_sections(s, twice)
+    for bad in ((9, None, "title", "x"), (1, "7", "in_force", "true"), (1, None, "page", "3"), (1, None, "in_force", "false"), (1, "2", "title", "x")):
         with pytest.raises(ValueError, match="patches"):
             patching.patch_sections(s, spark.createDataFrame([bad], p.schema))
 
