@@ -87,10 +87,11 @@ def handcheck_sample(spark: SparkSession, d: str) -> DataFrame:
 
 
 def line_rebuild(spark: SparkSession, d: str) -> DataFrame:
-    """Titles set as glyphs on drifting baselines and read back as lines."""
-    glyphs = layout.typeset(read_table(spark, d, "sections").where("title is not null"), "sec_id", "title")
+    """Titles set as inked glyphs on drifting baselines and read back as lines, their spaces from the gaps between glyphs."""
+    glyphs = layout.typeset(read_table(spark, d, "sections").where("title is not null"), "sec_id", "title").where(F.col("c").rlike(r"(?U)\S"))
     read = layout.lines(layout.visible(glyphs).withColumn("col", layout.column(F.col("x0"))))
-    return read.groupBy(F.col("doc").cast("bigint").alias("sec_id")).agg(F.count(F.lit(1)).alias("lines"), F.sum(F.length(F.regexp_replace("text", " ", ""))).alias("inked"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", "row", "part", "text"))), lambda x: x["text"]), "\n")
+    return read.groupBy(F.col("doc").cast("bigint").alias("sec_id")).agg(F.count(F.lit(1)).alias("lines"), F.md5(text).alias("digest"))
 
 
 def _search(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -262,8 +263,10 @@ ORACLES = {
                count(*) - count(DISTINCT section) AS repeats, count(*) FILTER (trim(coalesce(title, '')) = '') AS untitled, count(*) FILTER (trim(coalesce(text, '')) = '') AS empty
         FROM sections GROUP BY edition, act""",
     "handcheck_sample": f"SELECT ordinal, bns, status, bns_title FROM map_row ORDER BY {_HASH.format(chr(39) + '42:' + chr(39) + ' || ordinal')}, ordinal LIMIT 40",
-    "line_rebuild": r"""SELECT sec_id, len(list_filter(list_transform(range(0, length(title), 60), lambda k: title[k + 1 : k + 60]), lambda x: regexp_matches(x, '[^\s\p{Z}]'))) AS lines,
-        length(regexp_replace(title, '[\s\p{Z}]', '', 'g')) AS inked FROM sections WHERE title IS NOT NULL""",
+    "line_rebuild": r"""
+        SELECT sec_id, len(l) AS lines, md5(array_to_string(l, chr(10))) AS digest FROM (
+            SELECT sec_id, list_filter(list_transform(range(0, length(title), 60), lambda k: regexp_replace(regexp_replace(title[k + 1 : k + 60], '[\s\p{Z}]+', ' ', 'g'), '^ | $', '', 'g')), lambda x: x <> '') AS l
+            FROM sections WHERE title IS NOT NULL) WHERE len(l) > 0""",
     "bm25_topk": f"WITH {_bm25(5)} SELECT * FROM ranked",
     "dense_topk": f"WITH {_cosine(5, False)} SELECT * FROM ranked",
     "rank_fusion": f"""WITH {_bm25(1_000_000_000, "a")}, {_bm25(1_000_000_000, "b", 0.9, 0.4)},

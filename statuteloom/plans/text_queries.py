@@ -95,8 +95,8 @@ def chunk_histogram(spark: SparkSession, d: str) -> DataFrame:
 
 def headers(spark: SparkSession, d: str) -> DataFrame:
     cols = [F.col(c) for c in ("act", "section", "title", "chapter_no", "chapter_title")]
-    rows = mapping.section_refs(read_table(spark, d, "map_row"))
-    s = read_table(spark, d, "sections").where("act = 'BNS'").join(rows, F.col("section") == F.col("bns_section"), "left")
+    rows = mapping.section_refs(read_table(spark, d, "map_row")).withColumn("_act", F.lit("BNS"))
+    s = read_table(spark, d, "sections").join(rows, (F.col("section") == F.col("bns_section")) & (F.col("act") == F.col("_act")), "left")
     return s.select("sec_id", chunking.header(*cols, F.coalesce("refs", F.array().cast("array<string>"))).alias("header"))
 
 
@@ -219,7 +219,7 @@ ORACLES = {
                CASE WHEN regexp_full_match(trim(coalesce(chapter, '')), '[0-9]+') THEN roman ELSE nullif(trim(coalesce(chapter, '')), '') END AS chapter_no,
                nullif({norm("coalesce(chapter_name, '')")}, '') AS chapter_title, md5(t) AS digest, CAST(units AS INT) AS units, t = '' AS empty
         FROM k LEFT JOIN (SELECT n, roman FROM romans WHERE rest = 0) r ON r.n = TRY_CAST(trim(chapter) AS INT) LEFT JOIN u USING (kb_id)""",
-    "headers": f"""SELECT sec_id, concat('[BNS ', section, '] ', coalesce(title, '')) || coalesce(' | Chapter ' || nullif(chapter_no, '') || coalesce(': ' || nullif(chapter_title, ''), ''), '')
+    "headers": f"""SELECT sec_id, concat('[', act, ' ', section, '] ', coalesce(title, '')) || coalesce(' | Chapter ' || nullif(chapter_no, '') || coalesce(': ' || nullif(chapter_title, ''), ''), '')
         || CASE WHEN len(refs) > 0 THEN ' | Formerly: ' || array_to_string(refs[1:5], ', ') || CASE WHEN len(refs) > 5 THEN ', …' ELSE '' END ELSE '' END AS header
-        FROM sections LEFT JOIN {_REFS_OF_SECTION} r ON r.bns_section = section WHERE act = 'BNS'""",
+        FROM sections LEFT JOIN {_REFS_OF_SECTION} r ON r.bns_section = section AND act = 'BNS'""",
 }
