@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from statuteloom.functions.text import word_count
+from statuteloom.session import small_side
+
 
 def shared_hash(*parts: Column, seed: int = 42) -> Column:
     """A number in [0, 2^32) from MD5, the same in every engine."""
@@ -57,19 +60,49 @@ def paired_difference(a: DataFrame, b: DataFrame, value: str, key: str) -> DataF
     return a.select(key, F.col(value).alias("_a")).join(b.select(key, F.col(value).alias("_b")), key).select(key, (F.col("_a") - F.col("_b")).alias(value))
 
 
-def stratified(df: DataFrame, by: Column, key: str, parts: int, seed: int = 42) -> DataFrame:
-    """df with `split`: `test` for the first of every `parts` rows of each stratum in hashed order, else `dev`.
+def hash_rank(df: DataFrame, by: Column, key: str, seed: int = 42) -> DataFrame:
+    """df with `stratum` and `place`, the place of each row, from 1, in the hashed order of its stratum.
 
     Strata may hold a third of all rows: rows are numbered within buckets of the hash and the buckets of a stratum are offset
-    by their counts, so no stratum is sorted in one task. A stratum of n rows has exactly ceil(n / parts) test rows.
+    by their counts, so no stratum is sorted in one task.
     """
     hashed = df.withColumn("stratum", by).withColumn("_h", shared_hash(F.col("stratum"), F.col(key), seed=seed)).withColumn("_b", F.shiftright("_h", 20))
     before = Window.partitionBy("stratum").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = hashed.groupBy("stratum", "_b").agg(F.count(F.lit(1)).alias("_n")).select(F.col("stratum").alias("_s"), F.col("_b").alias("_c"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
     numbered = hashed.withColumn("_r", F.row_number().over(Window.partitionBy("stratum", "_b").orderBy("_h", key)))
     ranked = numbered.join(offsets, F.col("stratum").eqNullSafe(F.col("_s")) & (F.col("_b") == F.col("_c")))
-    split = F.when((F.col("_o") + F.col("_r") - 1) % parts == 0, "test").otherwise("dev")
-    return ranked.withColumn("split", split).drop("_h", "_b", "_r", "_s", "_c", "_o")
+    return ranked.withColumn("place", F.col("_o") + F.col("_r")).drop("_h", "_b", "_r", "_s", "_c", "_o")
+
+
+def stratified(df: DataFrame, by: Column, key: str, parts: int, seed: int = 42) -> DataFrame:
+    """df with `split`: `test` for the first of every `parts` rows of each stratum in hashed order, else `dev`.
+
+    A stratum of n rows has exactly ceil(n / parts) test rows.
+    """
+    split = F.when((F.col("place") - 1) % parts == 0, "test").otherwise("dev")
+    return hash_rank(df, by, key, seed).withColumn("split", split).drop("place")
+
+
+def with_refusals(answers: DataFrame, refusals: DataFrame, key: str, share: float = 0.15, seed: int = 42) -> DataFrame:
+    """The answers and as many refusals, first in hashed order, as make up `share` of the whole, with `kind`.
+
+    All answers are kept; with too few refusals all of them are. The two have the same columns. Only the number of answers,
+    one row, meets the refusals.
+    """
+    wanted = answers.agg(F.round(F.count(F.lit(1)) * F.lit(share / (1 - share))).cast("bigint").alias("_most"))
+    placed = hash_rank(refusals, F.lit("refusal"), key, seed).join(F.broadcast(wanted)).where("place <= _most").drop("stratum", "place", "_most")
+    return answers.withColumn("kind", F.lit("answer")).unionByName(placed.withColumn("kind", F.lit("refusal")))
+
+
+def hard_negatives(ranking: DataFrame, own: DataFrame, groups: DataFrame, item: str, keys: Sequence[str], first: int = 10, last: int = 50) -> DataFrame:
+    """(query, item, rank): of the items ranked first to last, the best one that is not of the query's own group.
+
+    own(query, keys) and groups(item, keys) name the groups; a query without such an item has no row.
+    """
+    mine = own.select("query", F.struct(*keys).alias("_own"))
+    theirs = groups.select(item, F.struct(*keys).alias("_group"))
+    others = ranking.where(F.col("rank").between(first, last)).join(mine, "query").join(theirs, item).where("NOT (_own <=> _group)")
+    return others.groupBy("query").agg(F.min_by(item, "rank").alias(item), F.min("rank").alias("rank"))
 
 
 def hash_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
@@ -125,6 +158,58 @@ def check_citations(answers: DataFrame, corpus: DataFrame, answer: str = "doc_id
     return cited.join(have, ["act", "section"], "left").groupBy(answer).agg(F.count(F.lit(1)).alias("n"), F.count("_in").alias("known"), F.count_if(F.col("_in").isNull()).alias("unknown"))
 
 
+def check_answers(answers: DataFrame, corpus: DataFrame, context: DataFrame, refusal: str, answer: str = "doc_id", text: str = "text", least: float = 0.8) -> DataFrame:
+    """(answer, refused, n, unknown, outside, share, compliant) of every answer, whose key is unique.
+
+    n distinct cited sections, of which the corpus (act, section) lacks `unknown` and the answer's context (answer, act,
+    section) `outside`; share of the sentences that hold a citation (NULL without text). An answer complies if it is the
+    refusal, or cites something, nothing unknown or outside, in at least `least` of its sentences.
+    The sections of the corpus are broadcast if they are few; the context meets the citations by the answer's key.
+    """
+    cited = F.array_distinct(F.transform(citations(F.col(text)), lambda c: F.struct(c["act"].alias("act"), c["section"].alias("section"))))
+    rows = answers.select(F.col(answer), F.coalesce(F.trim(text) == refusal, F.lit(False)).alias("refused"), F.round(cited_sentences(F.col(text)), 6).alias("share"), F.explode_outer(cited).alias("c"))
+    rows = rows.select(answer, "refused", "share", "c.act", "c.section")
+    have = small_side(corpus.select("act", "section").distinct().withColumn("_in", F.lit(1)))
+    given = context.select(answer, "act", "section").distinct().withColumn("_given", F.lit(1))
+    named = F.col("act").isNotNull()
+    out = rows.join(have, ["act", "section"], "left").join(given, [answer, "act", "section"], "left").groupBy(answer).agg(
+        F.max("refused").alias("refused"), F.count_if(named).alias("n"), F.count_if(named & F.col("_in").isNull()).alias("unknown"),
+        F.count_if(named & F.col("_given").isNull()).alias("outside"), F.max("share").alias("share"),
+    )
+    meets = (F.col("n") > 0) & (F.col("unknown") == 0) & (F.col("outside") == 0) & (F.coalesce("share", F.lit(0.0)) >= least)
+    return out.withColumn("compliant", F.col("refused") | meets)
+
+
+def out_of_range(text: Column, totals: Mapping[str, int]) -> Column:
+    """array<string>: the citations, in order and once each, whose number their act, with that many sections, cannot have."""
+    most = F.create_map(*[F.lit(v) for pair in totals.items() for v in pair])
+    wrong = F.filter(citations(text), lambda c: (c["section"] < 1) | (c["section"] > F.try_element_at(most, c["act"])))
+    return F.array_distinct(F.transform(wrong, lambda c: c["ref"]))
+
+
+#: Words that name the old law in a question.
+OLD_LAW = r"(?i)\b(?:IPC|CrPC|Indian Penal Code|Code of Criminal Procedure|Evidence Act)\b"
+
+
+def ranking_features(queries: DataFrame, ranking: DataFrame, groups: DataFrame, item: str, text: str = "text") -> DataFrame:
+    """(query, best, margin, mean_best, per_word, acts, words, old_law) of every query(query, text), from a ranking by scores.
+
+    best score, its lead over the second, the mean of the first five, the best one per word of the question, the number of
+    acts among the first five (groups(item, act)), words of the question, and whether it names the old law. A query that
+    found nothing has zeros.
+    """
+    top = ranking.where("rank <= 5").join(groups.select(item, "act"), item).groupBy("query").agg(
+        F.max(F.when(F.col("rank") == 1, F.col("score"))).alias("best"), F.max(F.when(F.col("rank") == 2, F.col("score"))).alias("_next"),
+        F.avg("score").alias("mean_best"), F.countDistinct("act").alias("acts"),
+    )
+    asked = queries.select("query", word_count(F.coalesce(text, F.lit(""))).alias("words"), F.coalesce(F.col(text).rlike(OLD_LAW), F.lit(False)).alias("old_law"))
+    rows = asked.join(top, "query", "left").na.fill(0, ["acts"]).na.fill(0.0, ["best", "_next", "mean_best"])
+    per_word = F.coalesce(F.try_divide("best", F.col("words")), F.lit(0.0))
+    return rows.select(
+        "query", "best", F.round(F.col("best") - F.col("_next"), 4).alias("margin"), F.round("mean_best", 4).alias("mean_best"), F.round(per_word, 4).alias("per_word"), "acts", "words", "old_law"
+    )
+
+
 def answerability(features: DataFrame, names: Sequence[str], label: str, key: str, train: Column, weight: str | None = None) -> DataFrame:
     """(key, label, probability): logistic regression on scaled features, fitted on the training rows, given for all rows."""
     from pyspark.ml import Pipeline

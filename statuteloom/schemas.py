@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,3 +46,14 @@ def violations(sections: DataFrame, keys: Sequence[str] = ("edition", "act")) ->
         F.sum(F.col("n") - 1).alias("repeats"), F.sum("untitled").alias("untitled"), F.sum("empty").alias("empty"),
     )
     return out.withColumn("gaps", F.col("highest") - F.col("lowest") + 1 - F.col("_d")).select(*keys, "sections", "lowest", "highest", "gaps", "repeats", "untitled", "empty")
+
+
+def totals(sections: DataFrame, expected: Mapping[str, int] = EXPECTED_SECTIONS, keys: Sequence[str] = ("edition",)) -> DataFrame:
+    """(keys, act, sections, expected, state): distinct section numbers of each act beside the expected total, `ok` or `MISMATCH`.
+
+    An act without an expected total has NULL there and is a mismatch.
+    """
+    most = F.create_map(*[F.lit(v) for pair in expected.items() for v in pair])
+    counted = sections.where("section IS NOT NULL").groupBy(*keys, "act", "section").agg(F.lit(1).alias("n")).groupBy(*keys, "act").agg(F.sum("n").alias("sections"))
+    out = counted.withColumn("expected", F.try_element_at(most, F.col("act")))
+    return out.withColumn("state", F.when(F.col("sections") == F.col("expected"), "ok").otherwise("MISMATCH"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from statuteloom.functions.folds import subsections
 from statuteloom.functions.numerals import to_roman
 from statuteloom.functions.text import clean_title, drop_stray_footnotes, normalise_columns, normalise_text
-from statuteloom.schemas import SECTION
+from statuteloom.schemas import ACTS, CHUNK, CHUNK_TYPES, MAP_ROW, SECTION, STATUSES, one_of
 
 
 def csv_strings(spark: SparkSession, path: str, normalise: bool = True) -> DataFrame:
@@ -28,9 +28,13 @@ def first_csv(spark: SparkSession, folder: str) -> str:
     return path
 
 
-def jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Records of a JSON Lines path under a schema; a malformed line is an error, blank lines are skipped."""
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+def jsonl(spark: SparkSession, path: str, schema: str, allowed: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """Records of a JSON Lines path under a schema; a malformed line is an error, blank lines are skipped.
+
+    allowed names the values that coded fields may have; any other one is an error once its column is read, NULL passes.
+    """
+    rows = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    return rows.select(*(one_of(c, allowed[c]) if allowed and c in allowed else F.col(c) for c in rows.columns))
 
 
 def json_titles(spark: SparkSession, path: str, act: str) -> DataFrame:
@@ -91,4 +95,12 @@ def transcription(raw: DataFrame, keep: Sequence[str] = (), act: str | None = No
 
 
 def sections(spark: SparkSession, path: str) -> DataFrame:
-    return jsonl(spark, path, SECTION)
+    return jsonl(spark, path, SECTION, {"act": ACTS})
+
+
+def map_rows(spark: SparkSession, path: str) -> DataFrame:
+    return jsonl(spark, path, MAP_ROW, {"status": STATUSES})
+
+
+def chunks(spark: SparkSession, path: str) -> DataFrame:
+    return jsonl(spark, path, CHUNK, {"act": ACTS, "chunk_type": CHUNK_TYPES})
