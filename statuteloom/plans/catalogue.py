@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from statuteloom.plans import problems, review_queries, table_queries, text_queries
+from statuteloom.plans import chunk_checks, problems, review_queries, table_queries, text_queries
 
 QUERIES = {**problems.QUERIES, **text_queries.QUERIES, **table_queries.QUERIES, **review_queries.QUERIES}
-ORACLES = {**problems.ORACLES, **text_queries.ORACLES, **table_queries.ORACLES, **review_queries.ORACLES}
+ORACLES = {**problems.ORACLES, **text_queries.ORACLES, **chunk_checks.ORACLES, **table_queries.ORACLES, **review_queries.ORACLES}
