@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from statuteloom import schemas
 from statuteloom.operators import evaluation, mapping, patching, retrieval
-from statuteloom.plans.table_queries import _HASH, _bm25, _search
+from statuteloom.plans.table_queries import _HASH, _bm25, _compared, _search
+from statuteloom.plans.text_queries import key, norm
 from statuteloom.session import read_table
 
 #: What an answer says that gives none.
@@ -65,7 +66,13 @@ def chapters_patched(spark: SparkSession, d: str) -> DataFrame:
     return patching.patch_sections(s, patches).select("sec_id", "chapter_title", "title", F.size("subsections").alias("units"), "in_force")
 
 
-QUERIES = {q.__name__: q for q in (answer_rules, sft_rows, out_of_range, answer_features, hard_negatives, section_totals, chapters_patched)}
+def crosscheck_titles(spark: SparkSession, d: str) -> DataFrame:
+    """What the cross-check says of titles, missing rows and acts judged by titles alone: the part whose scores SQL can count."""
+    judged = F.when(F.col("act") == "BNSS", F.col("flagged"))
+    return _compared(spark, d).select("sec_id", "title_score", (F.col("hint") == "no reference row").alias("missing"), F.col("body_score").isNull().alias("no_body"), judged.alias("flagged"))
+
+
+QUERIES = {q.__name__: q for q in (crosscheck_titles, answer_rules, sft_rows, out_of_range, answer_features, hard_negatives, section_totals, chapters_patched)}
 
 _CITED = r"regexp_extract_all(text, '\b(?:BNSS|BNS|BSA)\s+[0-9]{1,3}(?:\([0-9a-z]+\))*')"
 _JUDGED = rf"""
@@ -79,6 +86,31 @@ _JUDGED = rf"""
                       round(CASE WHEN len(p) > 0 THEN len(list_filter(p, lambda x: regexp_matches(x, '\b(BNSS|BNS|BSA)\s+([0-9]{{1,3}})'))) / CAST(len(p) AS DOUBLE) END, 6) AS share
                FROM p LEFT JOIN t USING (doc_id))"""
 ORACLES = {
+    "crosscheck_titles": rf"""
+        WITH RECURSIVE k AS (
+            SELECT *, row_number() OVER (PARTITION BY edition, act, section ORDER BY kb_id DESC) AS nth FROM (
+                SELECT kb_id, edition, act, TRY_CAST(trim(section) AS INT) AS section, regexp_replace({norm("coalesce(section_name, '')")}, '[ .—-]+$', '') AS title,
+                       regexp_replace({norm("coalesce(description, '')")}, '([a-z]{{3}})[0-9]{{1,2}}([\s.,;:)]|$)', '\1\2', 'g') AS body FROM kaggle_bns_sample)),
+        both_sides AS (
+            SELECT s.sec_id, s.act, k.kb_id IS NULL AS missing, {key("coalesce(s.title, '')")} AS a, {key("nullif(k.title, '')")} AS b
+            FROM sections s LEFT JOIN k ON k.edition = s.edition AND k.act = s.act AND k.section = s.section AND nth = 1 AND body <> ''),
+        sets AS (SELECT a, b, list_distinct(list_filter(string_split(a, ' '), lambda w: w <> '')) AS x, list_distinct(list_filter(string_split(b, ' '), lambda w: w <> '')) AS y FROM (SELECT DISTINCT a, b FROM both_sides WHERE b IS NOT NULL)),
+        shared AS (SELECT *, list_sort(list_intersect(x, y)) AS z FROM sets),
+        forms AS (SELECT a, b, x, y, z, array_to_string(z, ' ') AS core, array_to_string(list_concat(z, list_sort(list_filter(x, lambda w: NOT list_contains(y, w)))), ' ') AS l,
+                         array_to_string(list_concat(z, list_sort(list_filter(y, lambda w: NOT list_contains(x, w)))), ' ') AS r FROM shared),
+        pairs AS (SELECT l AS p, r AS q FROM forms UNION SELECT core, l FROM forms WHERE core <> '' UNION SELECT core, r FROM forms WHERE core <> ''),
+        common AS (
+            SELECT p, q, 0 AS i, list_transform(range(0, length(q) + 1), lambda j: 0) AS v FROM pairs
+            UNION ALL
+            SELECT p, q, i + 1, list_transform(range(1, len(t) + 1), lambda j: list_max(t[1 : j]))
+            FROM (SELECT *, list_transform(range(1, len(v) + 1), lambda j: CASE WHEN j > 1 AND q[j - 1] = p[i + 1] THEN v[j - 1] + 1 ELSE v[j] END) AS t FROM common WHERE i < length(p))),
+        ratios AS (SELECT p, q, CASE WHEN p = q THEN 100.0::DOUBLE ELSE 200.0::DOUBLE * v[len(v)] / (length(p) + length(q)) END AS ratio FROM common WHERE i = length(p)),
+        scores AS (
+            SELECT f.a, f.b, round_even(CASE WHEN len(x) = 0 OR len(y) = 0 THEN 0 WHEN len(z) > 0 AND (len(z) = len(x) OR len(z) = len(y)) THEN 100
+                   ELSE greatest(m.ratio, coalesce(n.ratio, 0), coalesce(o.ratio, 0)) END, 1) AS score
+            FROM forms f JOIN ratios m ON m.p = l AND m.q = r LEFT JOIN ratios n ON n.p = core AND n.q = l AND core <> '' LEFT JOIN ratios o ON o.p = core AND o.q = r AND core <> '')
+        SELECT sec_id, score AS title_score, missing, missing OR act = 'BNSS' AS no_body, CASE WHEN act = 'BNSS' THEN coalesce(score < 90, TRUE) END AS flagged
+        FROM both_sides c LEFT JOIN scores s ON s.a = c.a AND s.b = c.b""",
     "answer_rules": f"WITH {_JUDGED} SELECT *, refused OR (n > 0 AND unknown = 0 AND outside = 0 AND coalesce(share, 0) >= 0.8) AS compliant FROM judged",
     "sft_rows": f"""WITH {_JUDGED},
         kept AS (SELECT doc_id FROM judged WHERE n > 0 AND unknown = 0),
