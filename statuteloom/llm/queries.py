@@ -68,6 +68,21 @@ def p7_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.report(*_p7(spark, d))
 
 
+def _p7_chars(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The same mix with documents sized by their characters, which SQL can count too."""
+    sized = mixing.usable(read_table(spark, d, "documents")).select("doc_id", "source", F.length("text").cast("bigint").alias("tokens"))
+    rated = mixing.rates(sized, read_table(spark, d, "mix_targets"))
+    return mixing.mix(sized, rated), rated
+
+
+def p7_mix_chars(spark: SparkSession, d: str) -> DataFrame:
+    return _p7_chars(spark, d)[0]
+
+
+def p7_shares_chars(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.report(*_p7_chars(spark, d)).withColumn("actual_share", F.round("actual_share", 9)).withColumn("rate", F.round("rate", 9))
+
+
 def _p8(spark: SparkSession, d: str) -> DataFrame:
     return subjects.document_subjects(read_table(spark, d, "documents"), read_table(spark, d, "doc_labels"), read_table(spark, d, "subjects"))
 
@@ -81,7 +96,7 @@ def p8_composition(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    own = (p2_found, p2_misses, p4_found, p4_repaired, p5_found, p5_forms, p6_ids, p7_mix, p7_shares, p8_found, p8_composition)
+    own = (p2_found, p2_misses, p4_found, p4_repaired, p5_found, p5_forms, p6_ids, p7_mix, p7_shares, p7_mix_chars, p7_shares_chars, p8_found, p8_composition)
     return {q.__name__: q for q in own}
 
 
@@ -98,8 +113,20 @@ def oracle_sql() -> dict[str, str]:
             out = f"replace({out}, {_sql_text(ligature)}, {_sql_text(letters)})"
         return f"regexp_replace({out}, '^\\s+|\\s+$', '', 'g')"
 
+    mixed = r"""
+        WITH sized AS (SELECT doc_id, source, length(text) AS tokens FROM documents WHERE source IS NOT NULL AND regexp_matches(text, '[^\s\p{Z}]')),
+        sums AS (SELECT source, target_share, coalesce(max_repeats, 0) AS max_repeats, CAST(coalesce(t, 0) AS BIGINT) AS tokens FROM mix_targets LEFT JOIN (SELECT source, sum(tokens) AS t FROM sized GROUP BY source) USING (source)),
+        level AS (SELECT min(max_repeats * tokens / target_share) AS level FROM sums WHERE tokens > 0 AND target_share > 0 AND max_repeats > 0),
+        rated AS (SELECT *, CASE WHEN tokens > 0 AND target_share > 0 AND max_repeats > 0 THEN least(CAST(max_repeats AS DOUBLE), level * target_share / tokens) ELSE 0.0 END AS rate FROM sums, level),
+        drawn AS (SELECT doc_id, source, s.tokens, CAST(least(floor(rate) + (CAST('0x' || substring(md5('17:' || doc_id), 1, 8) AS BIGINT) / 4294967296.0 < rate - floor(rate))::INT, max_repeats) AS INT) AS times
+            FROM sized s JOIN (SELECT source, rate, max_repeats FROM rated WHERE rate > 0) USING (source)),
+        mixed AS (SELECT doc_id, source, tokens, CAST(unnest(range(1, times + 1)) AS INT) AS copy FROM drawn)"""
     trim = r"regexp_replace({}, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')"
     return {
+        "p7_mix_chars": f"{mixed} SELECT * FROM mixed",
+        "p7_shares_chars": f"""{mixed}, used AS (SELECT source, count(*) AS used_docs, sum(tokens) AS used_tokens FROM mixed GROUP BY source)
+            SELECT source, target_share, max_repeats, tokens, round(rate, 9) AS rate, coalesce(used_docs, 0) AS used_docs, CAST(coalesce(used_tokens, 0) AS BIGINT) AS used_tokens,
+                   round(CAST(coalesce(used_tokens, 0) AS DOUBLE) / (SELECT sum(used_tokens) FROM used), 9) AS actual_share FROM rated LEFT JOIN used USING (source)""",
         "p5_found": f"""
             WITH s AS (SELECT sec_id, edition, act, CAST(section AS VARCHAR) AS section, {trim.format("text")} AS stored, nfc_normalize({form("text")}) AS form FROM sections WHERE text IS NOT NULL),
                  k AS (SELECT kb_id, edition, act, section, {trim.format("description")} AS stored, nfc_normalize({form("description")}) AS form FROM kaggle_bns_sample WHERE description IS NOT NULL)
