@@ -1,17 +1,21 @@
 """Section-aware chunks under a token budget, planned inside each row.
 
 A section's sub-sections, blocks and units are arrays of its row; splitting and packing are folds over them. The plan is one
-narrow stage (the reference join aside), however many sections there are. Tokens are words parted by white space.
+narrow stage (the reference join aside), however many sections there are. Tokens are words parted by white space unless another counter is given.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statuteloom.functions.folds import blocks, halved, illustrations, subsections
 from statuteloom.functions.text import clause_sentences, normalise_text, paragraphs, word_count
 
+#: Tokens of a text, as an expression.
+Counter = Callable[[Column], Column]
 SHOWN_REFS = 5
 _UNIT = "array<struct<text:string,subs:array<string>,in_force:boolean,kind:string>>"
 _CHUNK = "array<struct<body:string,subs:array<string>,in_force:boolean,kind:string,tokens:int>>"
@@ -25,24 +29,24 @@ def header(act: Column, section: Column, title: Column, chapter_no: Column, chap
     return F.concat_ws(" | ", F.format_string("[%s %s] %s", act, section.cast("string"), F.coalesce(title, F.lit(""))), chapter, formerly)
 
 
-def split_to_fit(text: Column, room: Column) -> Column:
-    """array<string>: a text in pieces of at most `room` words: whole, else its paragraphs, their sentences, halves of words."""
+def split_to_fit(text: Column, room: Column, counter: Counter = word_count) -> Column:
+    """array<string>: a text in pieces of at most `room` tokens: whole, else its paragraphs, their sentences, halves of words."""
 
     def sentence(s: Column) -> Column:
-        return F.when(word_count(s) <= room, F.array(s)).otherwise(halved(F.split(s, " "), room))
+        return F.when(counter(s) <= room, F.array(s)).otherwise(halved(F.split(s, " "), room, None if counter is word_count else counter))
 
     def paragraph(p: Column) -> Column:
-        return F.when(word_count(p) <= room, F.array(p)).otherwise(F.flatten(F.transform(clause_sentences(p), sentence)))
+        return F.when(counter(p) <= room, F.array(p)).otherwise(F.flatten(F.transform(clause_sentences(p), sentence)))
 
-    return F.when(word_count(text) <= room, F.array(text)).otherwise(F.flatten(F.transform(paragraphs(text), paragraph)))
+    return F.when(counter(text) <= room, F.array(text)).otherwise(F.flatten(F.transform(paragraphs(text), paragraph)))
 
 
-def pack(units: Column, used: Column, budget: int, prefix: str = "") -> Column:
+def pack(units: Column, used: Column, budget: int, prefix: str = "", counter: Counter = word_count) -> Column:
     """Chunks of neighbouring units, greedily: a new one where the next unit differs in force or kind or does not fit."""
 
     def step(out: Column, u: Column) -> Column:
         last = F.try_element_at(out, F.lit(-1))
-        words = word_count(u["text"])
+        words = counter(u["text"])
         joins = F.coalesce((last["in_force"] == u["in_force"]) & (last["kind"] == u["kind"]) & (last["tokens"] + words <= budget), F.lit(False))
         grown = F.struct(
             F.concat(last["body"], F.lit("\n"), u["text"]).alias("body"), F.concat(last["subs"], u["subs"]).alias("subs"), last["in_force"].alias("in_force"),
@@ -54,13 +58,14 @@ def pack(units: Column, used: Column, budget: int, prefix: str = "") -> Column:
     return F.aggregate(units, F.array().cast(_CHUNK), step)
 
 
-def plan(sections: DataFrame, key: str, budget: int = 350, refs: DataFrame | None = None) -> DataFrame:
+def plan(sections: DataFrame, key: str, budget: int = 350, refs: DataFrame | None = None, counter: Counter = word_count) -> DataFrame:
     """Chunks of sections(key, act, section, title, chapter_no, chapter_title, text, page_start[, subsections]).
 
     One chunk if all of it is equally in force and fits; else whole sub-sections packed in order, one too long being split at
     its clauses, paragraphs, sentences and at last words; illustrations last, in chunks of their own. `over_budget` marks what
     could not be split, `clause_split` sections where a clause was cut below its paragraphs. Sections with a NULL or blank text
-    have no chunks. refs (act, section, refs) adds old references to the header.
+    have no chunks. refs (act, section, refs) adds old references to the header. counter is any
+    expression of a text that counts its tokens, words by default.
     """
     rows = sections
     if refs is None:
@@ -74,7 +79,7 @@ def plan(sections: DataFrame, key: str, budget: int = 350, refs: DataFrame | Non
     head = header(F.col("act"), F.col("section"), F.col("title"), F.col("chapter_no"), F.col("chapter_title"), F.col("_refs"))
     rows = rows.select(F.col(key).alias("key"), "act", "section", "page_start", F.col("_refs").alias("old_refs"), head.alias("header"), subs.alias("subs"))
     parts = F.transform("subs", lambda s: F.struct(s["number"].alias("number"), s["in_force"].alias("in_force"), blocks(s["text"]).alias("blocks")))
-    rows = rows.withColumn("parts", parts).withColumn("used", word_count(F.col("header")))
+    rows = rows.withColumn("parts", parts).withColumn("used", counter(F.col("header")))
 
     def label(number: Column) -> Column:
         return F.filter(F.array(number), lambda n: n.isNotNull())
@@ -88,26 +93,26 @@ def plan(sections: DataFrame, key: str, budget: int = 350, refs: DataFrame | Non
 
     def units(m: Column) -> Column:
         whole = F.struct(m["text"].alias("text"), label(m["number"]).alias("subs"), m["in_force"].alias("in_force"), F.lit("subsections").alias("kind"))
-        split = F.flatten(F.transform(m["blocks"], lambda b: F.transform(split_to_fit(b["text"], room), lambda t: F.struct(t.alias("text"), label(m["number"]).alias("subs"), m["in_force"].alias("in_force"), F.lit("clauses").alias("kind")))))
-        return F.when(word_count(m["text"]) <= room, F.array(whole)).otherwise(split)
+        split = F.flatten(F.transform(m["blocks"], lambda b: F.transform(split_to_fit(b["text"], room, counter), lambda t: F.struct(t.alias("text"), label(m["number"]).alias("subs"), m["in_force"].alias("in_force"), F.lit("clauses").alias("kind")))))
+        return F.when(counter(m["text"]) <= room, F.array(whole)).otherwise(split)
 
     all_main = F.array_join(F.transform("mains", lambda m: m["text"]), "\n")
     one_force = F.size(F.array_distinct(F.transform("mains", lambda m: m["in_force"]))) <= 1
     single = F.array(F.struct(
         all_main.alias("body"), F.flatten(F.transform("mains", lambda m: label(m["number"]))).alias("subs"), F.col("mains")[0]["in_force"].alias("in_force"),
-        F.lit("section").alias("kind"), (F.col("used") + word_count(all_main)).alias("tokens"),
+        F.lit("section").alias("kind"), (F.col("used") + counter(all_main)).alias("tokens"),
     ))
-    packed = pack(F.flatten(F.transform("mains", units)).cast(_UNIT), F.col("used"), budget)
-    body = F.when(F.size("mains") == 0, F.array().cast(_CHUNK)).when(one_force & (word_count(all_main) <= room), single.cast(_CHUNK)).otherwise(packed)
+    packed = pack(F.flatten(F.transform("mains", units)).cast(_UNIT), F.col("used"), budget, counter=counter)
+    body = F.when(F.size("mains") == 0, F.array().cast(_CHUNK)).when(one_force & (counter(all_main) <= room), single.cast(_CHUNK)).otherwise(packed)
 
     def items(p: Column) -> Column:
         shown = F.filter(p["blocks"], lambda b: b["kind"] == "illustration")
-        pieces = F.flatten(F.transform(F.flatten(F.transform(shown, lambda b: illustrations(b["text"]))), lambda t: split_to_fit(t, room - 1)))
+        pieces = F.flatten(F.transform(F.flatten(F.transform(shown, lambda b: illustrations(b["text"]))), lambda t: split_to_fit(t, room - 1, counter)))
         return F.transform(pieces, lambda t: F.struct(t.alias("text"), label(p["number"]).alias("subs"), p["in_force"].alias("in_force"), F.lit("illustration").alias("kind")))
 
-    extra = pack(F.flatten(F.transform("parts", items)).cast(_UNIT), F.col("used") + 1, budget, "Illustrations\n")
-    cut_clause = F.exists("mains", lambda m: (word_count(m["text"]) > room) & F.exists(m["blocks"], lambda b: (b["kind"] == "clause") & F.exists(paragraphs(b["text"]), lambda p: word_count(p) > room)))
-    rows = rows.withColumn("chunks", F.concat(body, extra)).withColumn("clause_split", ~(one_force & (word_count(all_main) <= room)) & cut_clause)
+    extra = pack(F.flatten(F.transform("parts", items)).cast(_UNIT), F.col("used") + 1, budget, "Illustrations\n", counter)
+    cut_clause = F.exists("mains", lambda m: (counter(m["text"]) > room) & F.exists(m["blocks"], lambda b: (b["kind"] == "clause") & F.exists(paragraphs(b["text"]), lambda p: counter(p) > room)))
+    rows = rows.withColumn("chunks", F.concat(body, extra)).withColumn("clause_split", ~(one_force & (counter(all_main) <= room)) & cut_clause)
     out = rows.select("key", "act", "section", "page_start", "old_refs", "header", "clause_split", F.posexplode_outer("chunks").alias("k", "c")).where("c IS NOT NULL")  # outer: else the plan repeats the array in a filter
     return out.select(
         "key", F.format_string("%s-%s-c%d", "act", F.col("section").cast("string"), F.col("k") + 1).alias("chunk_id"), "act", "section", F.array_distinct("c.subs").alias("subsections"),

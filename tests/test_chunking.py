@@ -62,6 +62,15 @@ def test_null_blank_and_empty_tables(spark):
     assert chunking.stats(chunking.plan(df, "sec_id"), "act").count() == 0
 
 
+def test_another_counter(spark):
+    chars = lambda text: F.length(text)
+    df = sections(spark, ("(1) " + words(40) + "\n(2) " + words(5), None))
+    got = chunking.plan(df, "sec_id", 120, counter=chars).orderBy(F.length("chunk_id"), "chunk_id").collect()
+    head = len(got[0].header)
+    assert len(got) > 2 and not any(c.over_budget for c in got) and max(c.tokens for c in got) <= 120
+    assert sum(len(re.findall(r"\bword\b", c.text)) for c in got) == 45 and all(c.tokens <= len(c.text) and c.tokens > head for c in got)
+
+
 def test_statistics(spark):
     rows = [(k, "BNS", t, False) for k, t in enumerate([10, 20, 20, 40, 70])] + [(9, "BSA", 5, True)]
     df = spark.createDataFrame(rows, "key bigint, act string, tokens int, over_budget boolean")
