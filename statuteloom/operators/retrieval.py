@@ -12,6 +12,8 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -343,6 +345,246 @@ def fuse_exactly(rankers: Sequence[tuple[Callable[[int], DataFrame], Callable[[D
     return _merge(scored, top, item).withColumn("rank", F.col("rank").cast("int"))
 
 
+def bm25_fused(docs: DataFrame, queries: DataFrame, rules: Sequence[tuple[float, float]], top: int = 5, k: int = 60, doc_id: str = "doc_id", query_id: str = "query", block: int = 10 * BLOCK, places: int = 4) -> DataFrame:
+    """(query, doc_id, score, rank): the `top` first of the fusion of whole BM25 rankings, one for each (k1, b) of `rules`.
+
+    docs(doc_id, toks) and queries(query, toks); NULL toks and ids take no part. What bm25 without a cut and fuse would give, by less work: queries of the
+    same terms are ranked once; documents are tokenised once for a block of such term sets and kept as bags, the length
+    and the counts of wanted terms, alike bags in one partition and scored once; and a partition yields the first few of each
+    ranking, with the scores of all of them. What they leave open is settled by counting: see _fusion.
+    """
+    session, n = docs.sparkSession, len(rules)
+    depth = n * (k + top) - k + 1  # no document past it in every ranking can reach the first `top` of any one
+    kind, qkind = docs.schema[doc_id].dataType.simpleString(), queries.schema[query_id].dataType.simpleString()
+    terms = F.array_sort(F.array_distinct(F.flatten(F.collect_list("toks"))))
+    asked = stable_cut(queries.groupBy(F.col(query_id).alias("query")).agg(terms.alias("terms")).where(F.size("terms") > 0))
+    results = []
+    for held in _blocks(asked.select("terms").distinct(), "terms", block):
+        sets = [r["terms"] for r in held]
+        words = sorted({t for s in sets for t in s})
+        bags = stable_cut(_bags(docs, doc_id, words).repartition("bag"))
+        count, mean, df = _bag_statistics(bags, len(words))
+        index = {t: j for j, t in enumerate(words)}
+        shared = session.sparkContext.broadcast(([[index[t] for t in s] for s in sets], np.log1p((count - df + 0.5) / (df + 0.5)), mean, tuple(rules), 10.0**places))
+        ranked = bags.where("id IS NOT NULL").select("id", "bag")
+        lists = ", ".join(f"s{j} array<bigint>" for j in range(n))
+        firsts = ranked.mapInArrow(lambda batches, shared=shared: _bag_firsts(batches, shared.value, depth), f"g int, ids array<{kind}>, {lists}")
+        columns = "".join(f", r{j} int, s{j} bigint" for j in range(n))
+        kept = stable_cut(firsts.groupBy("g").applyInArrow(lambda table: _fusion(table, n, depth, top, k), f"g int, id {kind}{columns}"))
+        open_at = [F.col(f"r{j}").isNull() & (F.col(f"s{j}") > 0) for j in range(n)]
+        pairs = [(r["g"], r["id"], j, r[f"s{j}"]) for r in kept.where(reduce(Column.__or__, open_at)).collect() for j in range(n) if r[f"r{j}"] is None and r[f"s{j}"] > 0]
+        if pairs:
+            wanted = session.sparkContext.broadcast(pairs)
+            counts = ranked.mapInArrow(lambda batches, shared=shared, wanted=wanted: _bag_places(batches, shared.value, wanted.value), "c int, ahead bigint").groupBy("c").agg(F.sum("ahead").alias("ahead"))
+            found = session.createDataFrame([(c, *p[:3]) for c, p in enumerate(pairs)], f"c int, g int, id {kind}, j int").join(counts, "c")
+            for j in range(n):
+                place = found.where(F.col("j") == j).select("g", "id", (F.col("ahead") + 1).cast("int").alias("found"))
+                kept = kept.join(place, ["g", "id"], "left").withColumn(f"r{j}", F.coalesce(f"r{j}", "found")).drop("found")
+        score = sum((F.coalesce(1.0 / (F.lit(k) + F.col(f"r{j}")), F.lit(0.0)) for j in range(n)), F.lit(0.0))
+        place = F.row_number().over(Window.partitionBy("g").orderBy(F.col("score").desc(), "id")).cast("int")
+        best = kept.select("g", "id", F.round(score, 8).alias("score")).withColumn("rank", place).where(F.col("rank") <= top)
+        best = best.join(session.createDataFrame(list(enumerate(sets)), "g int, terms array<string>"), "g")
+        results.append(best.join(asked, "terms").select("query", F.col("id").alias(doc_id), "score", "rank"))
+    return reduce(DataFrame.unionAll, results) if results else session.createDataFrame([], f"query {qkind}, `{doc_id}` {kind}, score double, rank int")
+
+
+def _bags(docs: DataFrame, doc_id: str, words: Sequence[str]) -> DataFrame:
+    """(id, bag, n, tokens): the bag of each document that has one of the words; a row a batch, without id, counts documents and tokens.
+
+    A bag is the length of the document, then number and count of each of the words in it, as 32-bit integers.
+    """
+    kind = docs.schema[doc_id].dataType.simpleString()
+    shared = docs.sparkSession.sparkContext.broadcast(list(words))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.array(shared.value, pa.string())
+        for batch in batches:
+            batch = batch.filter(batch.column(1).is_valid())  # here: a filter of Spark would compute the tokens twice
+            ids, toks = batch.column(0), batch.column(1)
+            size = pc.list_value_length(toks).to_numpy(zero_copy_only=False).astype("int64")
+            word = pc.fill_null(pc.index_in(toks.flatten(), value_set=known), -1).to_numpy(zero_copy_only=False).astype("int64")
+            row = np.repeat(np.arange(len(size)), size)
+            owner, word, tf = _counted(row[word >= 0], word[word >= 0], len(known))
+            has, owner = np.unique(owner, return_inverse=True)
+            each = np.bincount(owner, minlength=len(has))
+            ends = np.cumsum(1 + 2 * each)
+            starts = ends - 1 - 2 * each
+            flat = np.empty(int(ends[-1]) if len(ends) else 0, dtype="<i4")
+            flat[starts] = size[has]
+            at = starts[owner] + 1 + 2 * (np.arange(len(owner)) - (np.cumsum(each) - each)[owner])
+            flat[at], flat[at + 1] = word, tf
+            bags = pa.Array.from_buffers(pa.binary(), len(has), [None, pa.py_buffer(np.append(0, 4 * ends).astype("<i4")), pa.py_buffer(flat)])
+            none = pa.nulls(len(has), pa.int64())
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(has)), bags, none, none], names=["id", "bag", "n", "tokens"])
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, ids.type), pa.nulls(1, pa.binary()), pa.array([len(size)], pa.int64()), pa.array([int(size.sum())], pa.int64())], names=["id", "bag", "n", "tokens"])
+
+    return docs.select(F.col(doc_id).alias("id"), "toks").mapInArrow(run, f"id {kind}, bag binary, n bigint, tokens bigint")
+
+
+def _counted(row: np.ndarray, word: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, words and counts of the distinct (row, word), in order."""
+    pair, n = np.unique(row * width + word, return_counts=True)
+    return pair // width, pair % width, n
+
+
+def _unpacked(bags: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lengths of the documents of some bags; owner, word and count of what is in them."""
+    ends = np.frombuffer(bags.buffers()[1], dtype="<i4")[bags.offset : bags.offset + len(bags) + 1].astype("int64") // 4
+    flat, starts, each = np.frombuffer(bags.buffers()[2], dtype="<i4"), ends[:-1], (np.diff(ends) - 1) // 2
+    owner = np.repeat(np.arange(len(each)), each)
+    at = starts[owner] + 1 + 2 * (np.arange(len(owner)) - (np.cumsum(each) - each)[owner])
+    return flat[starts], owner, flat[at], flat[at + 1]
+
+
+def _bag_statistics(bags: DataFrame, width: int) -> tuple[int, float, np.ndarray]:
+    """Documents, mean tokens of a document, and the number of documents with each word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, tokens, df = 0, 0, np.zeros(width, dtype="<i8")
+        for batch in batches:
+            n, tokens = n + (pc.sum(batch.column(1)).as_py() or 0), tokens + (pc.sum(batch.column(2)).as_py() or 0)
+            if len(held := batch.column(0).drop_null()):
+                df += np.bincount(_unpacked(held)[2], minlength=width)
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([tokens], pa.int64()), pa.array([df.tobytes()], pa.binary())], names=["n", "tokens", "df"])
+
+    rows = bags.select("bag", "n", "tokens").mapInArrow(run, "n bigint, tokens bigint, df binary").collect()
+    count = sum(r["n"] for r in rows)
+    df = sum((np.frombuffer(r["df"], dtype="<i8") for r in rows), np.zeros(width, dtype="int64"))
+    return count, (sum(r["tokens"] for r in rows) / count if count else 0.0) or 1.0, df
+
+
+class _Bags:
+    """The bags of a partition, alike ones once: their document ids in order, and for each word who has it and with what weights."""
+
+    def __init__(self, batches: Iterator[pa.RecordBatch], idf: np.ndarray, mean: float, rules: Sequence[tuple[float, float]]):
+        table = [b for b in batches if b.num_rows]
+        self.count = 0
+        if not table:
+            return
+        table = pa.Table.from_batches(table)
+        code = pa.concat_arrays(table.column(1).chunks).dictionary_encode()
+        ids, which = table.column(0).to_numpy(), code.indices.to_numpy()
+        self.count = len(code.dictionary)
+        order = np.argsort(ids, kind="stable")
+        self.ids = ids[order[np.argsort(which[order], kind="stable")]]
+        self.copies = np.bincount(which, minlength=self.count)
+        self.starts = np.cumsum(self.copies) - self.copies
+        size, owner, word, tf = _unpacked(code.dictionary)
+        order = np.argsort(word, kind="stable")
+        owner, word, tf = owner[order], word[order], tf[order].astype(float)
+        self.at, self.owner = np.searchsorted(word, np.arange(len(idf) + 1)), owner
+        self.weights = [idf[word] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * size[owner] / mean)) for k1, b in rules]
+
+    def scores(self, terms: Sequence[int]) -> np.ndarray:
+        """By rule and bag, not rounded."""
+        out = np.zeros((len(self.weights), self.count))
+        for t in terms:
+            part = slice(self.at[t], self.at[t + 1])
+            for j, w in enumerate(self.weights):
+                out[j, self.owner[part]] += w[part]
+        return out
+
+    def places(self, bags: np.ndarray, most: int | None = None) -> np.ndarray:
+        """Where in ids the documents of some bags are, of each bag the first `most`."""
+        each = self.copies[bags] if most is None else np.minimum(self.copies[bags], most)
+        return np.repeat(self.starts[bags] - np.cumsum(each) + each, each) + np.arange(each.sum())
+
+    def first(self, scores: np.ndarray, terms: Sequence[int], depth: int, unit: float) -> np.ndarray:
+        """Where in ids the first `depth` documents are, by rounded score and id; none without a positive score."""
+        least = 0.5 / unit
+        for t in sorted(terms, key=lambda t: self.at[t + 1] - self.at[t]):  # the depth-th of any bags is no better than that of all
+            if (n := self.at[t + 1] - self.at[t]) >= depth:
+                least = max(least, np.partition(scores[self.owner[self.at[t] : self.at[t + 1]]], n - depth)[n - depth])
+                break
+        bags = np.flatnonzero(scores >= least - 1 / unit)  # all that round alike are among them
+        whole = np.rint(scores[bags] * unit)
+        bags, whole = bags[whole > 0], whole[whole > 0]
+        if not len(bags):
+            return bags
+        order = np.argsort(-whole, kind="stable")
+        edge = min(int(np.searchsorted(np.cumsum(self.copies[bags[order]]), depth)), len(order) - 1)
+        bags = bags[whole >= whole[order[edge]]]
+        at = self.places(bags, depth)
+        each = np.repeat(np.rint(scores[bags] * unit), np.minimum(self.copies[bags], depth))
+        order = np.argsort(self.ids[at], kind="stable")
+        return at[order[np.argsort(-each[order], kind="stable")]][:depth]
+
+
+def _bag_firsts(batches: Iterator[pa.RecordBatch], shared: tuple, depth: int, batch: int = 512) -> Iterator[pa.RecordBatch]:
+    """(g, ids, scores by each rule) of a partition for each term set: documents among the first `depth` by any rule."""
+    sets, idf, mean, rules, unit = shared
+    held = _Bags(batches, idf, mean, rules)
+    if not held.count:
+        return
+    bag_of = np.repeat(np.arange(held.count), held.copies)
+    for start in range(0, len(sets), batch):
+        g, ids, whole = [], [], []
+        for at, terms in enumerate(sets[start : start + batch], start):
+            scores = held.scores(terms)
+            found = np.unique(np.concatenate([held.first(s, terms, depth, unit) for s in scores]))
+            if len(found):
+                g.append(at)
+                ids.append(held.ids[found])
+                whole.append(np.rint(scores[:, bag_of[found]] * unit).astype("int64"))
+        if g:
+            offsets = pa.array(np.append(0, np.cumsum([len(x) for x in ids])), pa.int32())
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (np.concatenate(ids), *np.concatenate(whole, axis=1))]
+            yield pa.RecordBatch.from_arrays([pa.array(g, pa.int32()), *lists], names=["g", "ids", *[f"s{j}" for j in range(len(rules))]])
+
+
+def _fusion(table: pa.Table, n: int, depth: int, top: int, k: int) -> pa.Table:
+    """(g, id, rank and score by each rule): the documents that can be among the `top` of the fusion, from the firsts of all partitions.
+
+    A partition holds nothing before its last that it has not yielded. So a rank is known down to the earliest of those lasts;
+    past it, it is NULL, and at least the number of documents known to be before. A score of 0 has no rank.
+    """
+    flat = lambda c: pa.concat_arrays([x.flatten() for x in table.column(c).chunks]).to_numpy(zero_copy_only=False)
+    ids, part = flat("ids"), np.repeat(np.arange(table.num_rows), pc.list_value_length(table.column("ids")).to_numpy())
+    by_id = np.argsort(ids, kind="stable")
+    known, most, columns = np.zeros(len(ids)), np.zeros(len(ids)), {}
+    for j in range(n):
+        whole = flat(f"s{j}")
+        order = by_id[np.argsort(-whole[by_id], kind="stable")]
+        order = order[whole[order] > 0]
+        own = np.argsort(part[order], kind="stable")  # places in the order, by partition
+        each = np.bincount(part[order], minlength=table.num_rows)
+        full = each >= depth
+        sure = own[(np.cumsum(each) - each)[full] + depth - 1].min() + 1 if full.any() else len(order)
+        rank = np.zeros(len(ids), dtype="int64")
+        rank[order] = np.arange(1, len(order) + 1)
+        worth = np.where(rank > 0, 1.0 / (k + rank), 0.0)
+        most += worth
+        known += np.where(rank <= sure, worth, 0.0)
+        columns |= {f"r{j}": pa.array(rank, pa.int32(), mask=(rank == 0) | (rank > sure)), f"s{j}": pa.array(whole, pa.int64())}
+    least = np.partition(known, len(known) - top)[len(known) - top] if len(known) >= top else 0.0
+    kept = pa.array(np.flatnonzero(most >= least - 2e-8))
+    columns = {"g": pa.repeat(table.column("g")[0], len(ids)), "id": pa.array(ids, table.schema.field("ids").type.value_type), **columns}
+    return pa.table(columns).take(kept)
+
+
+def _bag_places(batches: Iterator[pa.RecordBatch], shared: tuple, pairs: Sequence[tuple]) -> Iterator[pa.RecordBatch]:
+    """(c, ahead): how many documents of a partition stand before the c-th of pairs (term set, id, rule, score)."""
+    sets, idf, mean, rules, unit = shared
+    held = _Bags(batches, idf, mean, rules)
+    if not held.count:
+        return
+    by_set: dict = {}
+    for c, (g, x, j, score) in enumerate(pairs):
+        by_set.setdefault(g, {}).setdefault((j, score), []).append((c, x))
+    ahead = np.zeros(len(pairs), dtype="int64")
+    for g, wanted in by_set.items():
+        whole = np.rint(held.scores(sets[g]) * unit).astype("int64")
+        for j in {j for j, _ in wanted}:
+            order = np.argsort(-whole[j], kind="stable")
+            falling, before = -whole[j][order], np.append(0, np.cumsum(held.copies[order]))
+            for score, those in ((s, x) for (i, s), x in wanted.items() if i == j):
+                low, high = np.searchsorted(falling, -score, side="left"), np.searchsorted(falling, -score, side="right")
+                tied = np.sort(held.ids[held.places(order[low:high])])
+                for c, x in those:
+                    ahead[c] = before[low] + np.searchsorted(tied, x)
+    yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(pairs)), pa.int32()), pa.array(ahead, pa.int64())], names=["c", "ahead"])
+
+
 def collapse(ranking: DataFrame, parts: DataFrame, item: str, group: Sequence[str]) -> DataFrame:
     """(query, group, score, rank): the best score of a group's items, ranked anew."""
     best = ranking.join(parts.select(item, *group), item).groupBy("query", *group).agg(F.max("score").alias("score"))

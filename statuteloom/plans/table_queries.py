@@ -117,8 +117,7 @@ def dense_topk(spark: SparkSession, d: str) -> DataFrame:
 
 def rank_fusion(spark: SparkSession, d: str) -> DataFrame:
     docs, asked = _search(spark, d)
-    ranker = lambda **kw: (lambda depth: retrieval.bm25(docs, asked, depth, doc_id="sec_id", **kw), lambda wanted: retrieval.bm25_places(docs, asked, wanted, doc_id="sec_id", **kw))
-    return retrieval.fuse_exactly([ranker(), ranker(k1=0.9, b=0.4)], 5, item="sec_id")
+    return retrieval.bm25_fused(docs, asked, [(1.2, 0.75), (0.9, 0.4)], 5, doc_id="sec_id")
 
 
 def collapse_sections(spark: SparkSession, d: str) -> DataFrame:

@@ -152,6 +152,48 @@ def test_places_against_brute_force(spark, tmp_path, block):
     assert {(x["query"], x.sec_id): x["rank"] for x in r.bm25_places(docs, asked, wanted, doc_id="sec_id", block=block).collect()} == want
 
 
+def test_fusion_reads_each_text_once(spark, tmp_path, monkeypatch):
+    rows, read, tokens = _sections(spark, tmp_path), spark.sparkContext.accumulator(0), r.tokens
+
+    def seen(text):
+        read.add(1)
+        return text
+
+    counting = F.udf(seen, "string").asNondeterministic()
+    monkeypatch.setattr(r, "tokens", lambda text: tokens(counting(text)))
+    assert QUERIES["rank_fusion"](spark, str(tmp_path)).count() > 0
+    assert read.value == len(rows) + sum(x[0] % 20 == 0 for x in rows)
+
+
+@pytest.mark.parametrize("block", [1, 100])
+def test_fusion_counts_places_past_all_lists(spark, block):
+    # 90 short rows lead one ranking and 120 long ones the other; the places of each in the other decide, and no list is as long
+    bodies = ["theft word"] * 90 + ["theft " * 4 + "word " * 56] * 120 + ["word " * (10 + j % 7) for j in range(50)]
+    rows = [(f"d{k * 37 % 260:03d}", "", 0, "", body) for k, body in enumerate(bodies)]
+    asked = [("a", ["theft"]), ("b", ["theft", "none"]), ("c", ["theft", "theft"]), ("d", ["none"]), ("e", []), ("f", None)]
+    docs = spark.createDataFrame([(x[0], x[4].split()) for x in rows] + [("x", None)], "doc_id string, toks array<string>").repartition(5)
+    rules, total = [(1.2, 0.75), (0.9, 0.4)], Counter()
+    bags = {x[0]: Counter(x[4].split()) for x in rows}
+    mean = sum(sum(c.values()) for c in bags.values()) / 260
+    for k1, b in rules:
+        scores = {d: math.log(1 + 50.5 / 210.5) * c["theft"] * (k1 + 1) / (c["theft"] + k1 * (1 - b + b * sum(c.values()) / mean)) for d, c in bags.items() if c["theft"]}
+        for rank, (_, d) in enumerate(sorted((-round(s, 4), d) for d, s in scores.items()), 1):
+            total[d] += 1 / (60 + rank)
+    want = [(d, -score) for score, d in sorted((-round(s, 8), d) for d, s in total.items())[:5]]
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    for on in ("true", "false"):  # one partition, and several
+        spark.conf.set("spark.sql.adaptive.enabled", on)
+        try:
+            got = r.bm25_fused(docs, spark.createDataFrame(asked, "query string, toks array<string>"), rules, block=block).orderBy("query", "rank").collect()
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        assert [tuple(x) for x in got] == [(q, *w, n) for q in "abc" for n, w in enumerate(want, 1)]
+    if block > 1:  # the operator for any rankers, by scans of its own
+        docs, asked = docs.where("toks IS NOT NULL"), spark.createDataFrame(asked[:1], "query string, toks array<string>")
+        ranker = lambda k1, b: (lambda depth: r.bm25(docs, asked, depth, k1, b), lambda wanted: r.bm25_places(docs, asked, wanted, k1, b))
+        assert [tuple(x) for x in r.fuse_exactly([ranker(*x) for x in rules], 5).orderBy("rank").collect()] == [("a", *w, n) for n, w in enumerate(want, 1)]
+
+
 def test_fusion_collapse_and_rerank(spark):
     a = spark.createDataFrame([(1, 10, 9.0, 1), (1, 20, 8.0, 2)], "query bigint, doc_id bigint, score double, rank int")
     b = spark.createDataFrame([(1, 20, 9.0, 1), (1, 30, 8.0, 2)], "query bigint, doc_id bigint, score double, rank int")
